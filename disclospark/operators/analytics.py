@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 def volume_by_day(df: DataFrame, ts: str, days: int = 30) -> DataFrame:
     """Rows a day over the last `days` days up to the newest one present (no clock is asked)."""
     day = F.col(ts).cast("date")
-    newest = df.agg(F.max(day).alias("newest"))
+    newest = df.agg(F.max(day)).scalar()
     return (
         df.select(day.alias("date"))
-        .join(F.broadcast(newest), F.col("date") > F.date_sub("newest", days))
+        .filter(F.col("date") > F.date_sub(newest, days))
         .groupBy("date")
         .agg(F.count(F.lit(1)).alias("count"))
     )

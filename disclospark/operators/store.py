@@ -68,8 +68,7 @@ def page(df: DataFrame, f: QueryFilters, *tie_break: str, literal: bool = False,
 
 def first_by_id(df: DataFrame, *order: str, key: str = "id") -> DataFrame:
     """One row an id: the first by `order`. An aggregate, so equal ids meet map-side and no group is sorted in one task."""
-    rest = [c for c in df.columns if c not in order]
-    best = F.min_by(F.struct(*rest), F.struct(*order)).alias("r")
+    best = F.min_by(F.struct(*df.columns), F.struct(*order)).alias("r")
     return df.groupBy(key).agg(best).select("r.*")
 
 
@@ -104,7 +103,7 @@ class ParquetStore:
         """Stored rows with the read-back defaults for nulls; empty before the first save."""
         if not self._exists():
             return self.spark.createDataFrame([], TRANSACTION)
-        df = self.spark.read.schema(TRANSACTION).parquet(self.path)
+        df = self.spark.read.schema(TRANSACTION).parquet(self.path).select(*TRANSACTION.names)
         return df.withColumns(
             {
                 "asset_type": F.coalesce("asset_type", F.lit("")),
