@@ -12,6 +12,9 @@ from ..operators.schema_drift import schema_changes, unified_table
 from ..operators.snapshots import snapshot_changes
 from ..operators.timestamps import normalize_times, utc_text
 from ..session import read_table
+from .data_quality_sql import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 #: Zones tried for rows whose office names none.
 OFFICE_ZONES = [
@@ -81,5 +84,3 @@ def p6_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_loaded": p3_loaded, "p5_found": p5_found, "p6_found": p6_found, "p6_table": p6_table}
-
-ORACLE: dict[str, str] = {}
