@@ -14,12 +14,12 @@ the form of a form is itself.
 
 from __future__ import annotations
 
+import re
 import sys
 import unicodedata
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -93,7 +93,7 @@ def _shows_nothing(c: str) -> bool:
 
 
 def tables() -> tuple[dict[int, str], str]:
-    """(replacement of each character, pattern of unstable segments), from the rules above and the character database."""
+    """(replacement of each character, pattern of runs of unstable ones), from the rules above and the character database."""
     swap: dict[int, str] = {}
     for line in LOOK_ALIKES.strip().splitlines():
         latin, _, others = line.partition(": ")
@@ -137,22 +137,29 @@ def tables() -> tuple[dict[int, str], str]:
             run = [n]
     spans.append(run)
     chars = "".join(f"\\U{s[0]:08x}" + (f"-\\U{s[-1]:08x}" if len(s) > 1 else "") for s in spans if s)
-    return swap, rf".?[{chars}]\p{{M}}*(?:[{chars}]\p{{M}}*)*"
+    return swap, f"[{chars}]+"
 
 
 def canonicaliser(swap: dict[int, str], pattern: str) -> Callable[[str | None], str | None]:
-    segment = regex.compile(pattern, regex.DOTALL)
-
-    def settle(m: regex.Match) -> str:
-        s = unicodedata.normalize("NFD", m.group().translate(swap)).translate(swap)
-        return unicodedata.normalize("NFC", s)
+    runs = re.compile(pattern)
 
     def form(text: str | None) -> str | None:
-        if text is None or text.isascii() and not any(c < " " and c not in "\t\n\r\x0b\x0c" or c == "\x7f" for c in text):
+        if not text:
+            return text
+        out, at = [], 0
+        for m in runs.finditer(text):
+            # boundary context: the stable character before the run; marks after it are unstable and so part of it
+            start = max(at, m.start() - 1)
+            out.append(text[at:start])
+            plain = unicodedata.normalize("NFD", text[start : m.end()].translate(swap)).translate(swap)
+            out.append(unicodedata.normalize("NFC", plain))
+            at = m.end()
+        if not at:
             return text
-        out = segment.sub(settle, text)
-        # a removed character may have parted a starter from its mark
-        return out if unicodedata.is_normalized("NFC", out) else unicodedata.normalize("NFC", out)
+        out.append(text[at:])
+        joined = "".join(out)
+        # where a removed character had parted a starter from what follows, the context was wider
+        return joined if unicodedata.is_normalized("NFC", joined) else unicodedata.normalize("NFC", joined)
 
     return form
 
