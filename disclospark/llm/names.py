@@ -101,7 +101,9 @@ def parse_name(text: str) -> list[tuple[list[str], str, str]]:
         given = _untitled([w for p in kept[1:] for w in p])
         return [([fold(g) for g in given if fold(g)], _compact_last(kept[0]), suffix)]
     words = kept[0]
-    return [([fold(g) for g in words[:-k] if fold(g)], _compact_last(words[-k:]), suffix) for k in range(1, min(4, len(words) - 1) + 1)]
+    # a lone letter starts a last name only as the O of O'Name
+    sizes = [k for k in range(1, min(4, len(words) - 1) + 1) if k == 1 or not any(len(w) == 1 and w not in "oO" for w in words[-k:-1])]
+    return [([fold(g) for g in words[:-k] if fold(g)], _compact_last(words[-k:]), suffix) for k in sizes]
 
 
 def edits(a: str, b: str, most: int = 3) -> int:
@@ -164,7 +166,7 @@ def likelihood(reading: tuple[list[str], str, str], meant: tuple[list[str], str,
     if middle and c_middle:
         a, b = middle[0], c_middle[0]
         same = a == b or (a[0] == b[0] and min(len(a), len(b)) == 1) or (min(len(a), len(b)) > 3 and edits(a, b, 1) == 1)
-        score += -0.2 if same else -8.0
+        score += -0.2 if same else -12.0
     elif middle:
         score -= 4.0 * len(middle)
     elif c_middle:
