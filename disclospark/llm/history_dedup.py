@@ -22,10 +22,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import wide_trim
 from ..session import materialize, shared_dir
 from .names import edits
 
-GRAM, WINDOW = 3, 4
+GRAM, WINDOW = 2, 3
 COVERAGE = 0.1
 BLOOM_HASHES = 6
 
@@ -36,42 +37,53 @@ SAME_WORDS = {
 }
 
 
-def asset_text(c: str) -> Column:
-    """One spelling of an asset: blanks, case, punctuation, ticker in brackets, forms of dates, rates, prices and legal forms don't matter."""
+def with_asset_text(df: DataFrame, asset: str, out: str) -> DataFrame:
+    """Adds one spelling of an asset: blanks, case, punctuation, ticker in brackets, forms of dates, rates, prices and legal forms don't matter.
+
+    Every pattern runs only where a plain look finds what it changes; each step is a column of its own, so none is evaluated twice.
+    """
+    x = F.col(out)
+    has = lambda s: x.contains(s)
     steps = [
-        (r"[\s\x{A0}\x{2000}-\x{200B}\x{202F}\x{3000}\x{FEFF}]+", " "),
-        (r" *[\[(][^\])]*[\])] *\z", ""),
-        (r"\b0?(\d{1,2})/0?(\d{1,2})/(\d{4})\b", "$3-$1-$2"),
-        (r"\b(\d{4})-0?(\d{1,2})-0?(\d{1,2})\b", "$1-$2-$3"),
-        (r"(?<=\d),(?=\d{3}\b)", ""),
-        (r"(\d+(?:\.\d*?[1-9])?)\.?0* ?%", "$1%"),
-        (r"\$ ?(\d+(?:\.\d*?[1-9])?)\.?0*(?= |\z)", r"\$$1"),
-        (r"[^\p{L}\p{N}$%.&-]+", " "),
-        (r"\.(?!\d)", " "),
-        (r"(?<=\A| )-+(?= |\z)", " "),
-        (r"\b(call|put) options?\b", "$1"),
-        (r"\b(" + "|".join(SAME_WORDS) + r")\b", "<$1>"),
+        (x.endswith("]") | x.endswith(")"), r" *[\[(][^\])]*[\])]\z", ""),
+        (has("/"), r"\b0?(\d{1,2})/0?(\d{1,2})/(\d{4})\b", "$3-$1-$2"),
+        (has("-0"), r"\b(\d{4})-0?(\d{1,2})-0?(\d{1,2})\b", "$1-$2-$3"),
+        (has(","), r"(?<=\d),(?=\d{3}\b)", ""),
+        (has("%"), r"(\d+(?:\.\d*?[1-9])?)\.?0* ?%", "$1%"),
+        (has("$"), r"\$ ?(\d+(?:\.\d*?[1-9])?)\.?0*(?= |\z)", r"\$$1"),
+        (None, r"[^\p{L}\p{N}$%.&-]+|(?<![^ ])-+(?![^ ])", " "),
+        (has("."), r"\.(?!\d)", " "),
+        (None, r" {2,}", " "),
     ]
-    out = F.lower(F.trim(F.col(c)))
-    for pattern, to in steps:
-        out = F.regexp_replace(out, pattern, to)
-    for word, same in SAME_WORDS.items():
-        out = F.replace(out, F.lit(f"<{word}>"), F.lit(same))
-    out = F.trim(F.regexp_replace(out, " +", " "))
-    out = F.regexp_replace(out, r"(due [\d-]+) notes?\z", "$1")
+    df = df.withColumn(out, F.lower(wide_trim(F.regexp_replace(asset, r"[^\S ]+|[\x{A0}\x{2000}-\x{200B}\x{202F}\x{3000}\x{FEFF}]+", " "))))
+    for guard, pattern, to in steps:
+        new = F.regexp_replace(x, pattern, to)
+        df = df.withColumn(out, new if guard is None else F.when(guard, new).otherwise(x))
+    padded = F.concat(F.lit(" "), F.trim(x), F.lit(" "))
+    for word, same in (SAME_WORDS | {"call option": "call", "put option": "put", "call options": "call", "put options": "put"}).items():
+        padded = F.replace(padded, F.lit(f" {word} "), F.lit(f" {same} "))
+    df = df.withColumn(out, F.trim(padded))
+    df = df.withColumn(out, F.when(x.endswith(" note") | x.endswith(" notes"), F.regexp_replace(x, r"(due [\d-]+) notes?\z", "$1")).otherwise(x))
     # the plain share of an issuer is often left unsaid; a class is not
-    return F.trim(F.regexp_replace(out, r" ?\b(?:common|com|ordinary) (?:stock|stk|shares?|shs)\z", ""))
+    plain = F.regexp_replace(x, r" ?\b(?:common|com|ordinary) (?:stock|stk|shares?|shs)\z", "")
+    return df.withColumn(out, F.when(has("com") | has("ordinary"), F.trim(plain)).otherwise(x))
+
+
+def amount_ends(amount: str) -> tuple[Column, Column]:
+    """(low, high) of an amount as written: its first and last whole number; no high end if it says over."""
+    numbers = F.regexp_extract_all(F.replace(F.col(amount), F.lit(","), F.lit("")), F.lit(r"(\d+)(?:\.\d+)?"), 1)
+    end = lambda i: F.try_element_at(numbers, F.lit(i)).try_cast("bigint")
+    return end(1), F.when(~F.lower(amount).contains("over"), end(-1))
 
 
 def with_content(df: DataFrame, person: str, asset: str, day: str, low: str, high: str) -> DataFrame:
     """Adds block (long), words (array of the long words) and content (long)."""
-    tokens = F.split(F.col("#asset"), " ")
-    exact = F.filter(tokens, lambda t: t.rlike(r"\d") | (F.length(t) <= 4))
-    long = F.filter(tokens, lambda t: ~(t.rlike(r"\d") | (F.length(t) <= 4)))
+    long_word = r"(?<![^ ])[^ \d]{5,}(?![^ ])"
+    exact = F.regexp_replace("#asset", long_word, "#")
     return (
-        df.withColumn("#asset", asset_text(asset))
-        .withColumn("words", long)
-        .withColumn("block", F.xxhash64(F.col(person), F.col(day), F.col(low), F.coalesce(F.col(high), F.lit(-1)), F.array_join(exact, " ")))
+        with_asset_text(df, asset, "#asset")
+        .withColumn("words", F.regexp_extract_all("#asset", F.lit(long_word), F.lit(0)))
+        .withColumn("block", F.xxhash64(F.col(person), F.col(day), F.col(low), F.coalesce(F.col(high), F.lit(-1)), exact))
         .withColumn("content", F.xxhash64("block", F.array_join("words", " ")))
         .drop("#asset")
     )

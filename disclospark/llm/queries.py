@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.normalize import amount_range, calendar_date
+from ..functions.normalize import calendar_date
 from ..functions.text import is_blank
 from ..operators.timestamps import local_day, normalize_times
 from ..session import materialize, read_table
 from .canonical import map_fields
-from .history_dedup import HistoryStore, prepare, repeated_rows, with_content
+from .history_dedup import HistoryStore, amount_ends, prepare, repeated_rows, with_content
 from .lookalikes import canonical_texts, same_looking
 from .mixing import mix
 from .names import attribute, member_spelling
@@ -31,7 +31,7 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("spelling").agg(F.count(F.lit(1)).alias("frequency"))
     )
     person = materialize(attribute(materialize(spellings), register).select(F.col("spelling").alias("politician"), "person"))
-    lo, hi = amount_range("amount")
+    lo, hi = amount_ends("amount")
     usable = raw.filter(~is_blank("politician") & ~is_blank("asset_name") & ~is_blank("transaction_date"))
     timed = normalize_times(usable, "transaction_date", "office_tz")
     incoming = (
