@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,6 +64,16 @@ def run_pipeline(raw: DataFrame, store: ParquetStore, order: str = "source_id",
     return {"ingested": stats["ingested"], "inserted": inserted, "skipped": stats["skipped"], "errors": errors}
 
 
+def tick(spark, run: Callable[[], dict], log_path: str) -> dict:  # noqa: ANN001
+    """One scheduled run: its statistics, or errors = 1 if it raised, go to the run log."""
+    try:
+        stats = run()
+    except Exception:
+        stats = {"ingested": 0, "inserted": 0, "skipped": 0, "errors": 1}
+    log_run(spark, stats, log_path)
+    return stats
+
+
 def log_run(spark, stats: dict, path: str, at: dt.datetime | None = None) -> None:  # noqa: ANN001
     """Append one line to the JSON run log."""
     at = at or dt.datetime.now(dt.timezone.utc)

@@ -82,6 +82,11 @@ def insert_or_ignore(incoming: DataFrame, existing: DataFrame, *order: str) -> D
     return new_rows(first_by_id(incoming, *order), existing)
 
 
+def known_ids(incoming: DataFrame, existing: DataFrame, key: str = "id") -> DataFrame:
+    """Distinct keys of the batch that the store has."""
+    return incoming.select(key).distinct().join(existing.select(key), key, "left_semi")
+
+
 def with_id(normalized: DataFrame) -> DataFrame:
     return normalized.withColumn("id", stable_id())
 
@@ -99,6 +104,11 @@ class ParquetStore:
         p = jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
+    def create_table(self, name: str) -> None:
+        """An external catalogue table over the store, if there is none of that name."""
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRANSACTION.fields)
+        self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, trade_year int) USING parquet PARTITIONED BY (trade_year) LOCATION '{self.path}'")
+
     def read(self) -> DataFrame:
         """Stored rows with the read-back defaults for nulls; empty before the first save."""
         if not self._exists():

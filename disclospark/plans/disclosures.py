@@ -210,6 +210,11 @@ def insert_or_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.insert_or_ignore(store.with_id(_kept(spark, sf_dir)), _accepted(spark, sf_dir), "row_id").select("id", "row_id")
 
 
+@query
+def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.known_ids(store.with_id(_kept(spark, sf_dir)), _accepted(spark, sf_dir))
+
+
 @query
 def source_id_antifilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of later batches whose source_id no earlier half has."""
@@ -363,6 +368,11 @@ def listing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return listing.filing_meta(listing.scan_pages(r.select(F.to_json(page).alias("payload"))))
 
 
+@query
+def debug_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return listing.first_filings(read_table(spark, sf_dir, "filing_index").select("docid", "line_no"), 25, "line_no")
+
+
 @query
 def html_strip_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     tagged = F.concat(F.lit("<td>\n <b>"), F.coalesce(F.col("asset_name"), F.lit("")), F.lit("</b> <br/></td>"))

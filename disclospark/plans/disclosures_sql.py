@@ -150,6 +150,8 @@ ORACLE = {
     "events_props_json": "select event_id, array_to_string(list_sort(json_keys(props)), ',') as keys from events",
     "listing_scan": """select first || ' ' || last as politician, '04/09/2026' as filing_date, '/search/view/ptr/' || lower(to_hex(filer_id)) || '-ab/' as report_path,
  lower(to_hex(filer_id)) || '-ab' as ptr_uuid, chamber as office from filers where filer_id % 3 <> 0""",
+    "debug_cap": "select docid, line_no from filing_index order by line_no limit 25",
+    "known_ids": _FIRST + "select id from u where rn = 1 and id in (select id from transactions)",
     "html_strip_text": f"select row_id, {_squeeze('coalesce(asset_name, $$$$)')} as text from raw_transactions",
     "html_href_extract": "select id, '/view/ptr/' || id || '/' as path, id as uuid from transactions",
     "html_table_parse": f"select row_id || '|1' as source_id, {', '.join(f'{_CELL[c]} as {c}' for c in _HTML)} from raw_transactions where {_CELL['asset_name']} <> ''",

@@ -130,6 +130,22 @@ def test_pipeline(spark, tmp_path):
     assert spark.read.json(f"file://{tmp_path}/log").count() == 2
 
 
+def test_tick(spark, tmp_path):
+    def broken():
+        raise OSError("no source")
+
+    assert pipeline.tick(spark, broken, f"file://{tmp_path}/log")["errors"] == 1
+    assert spark.read.json(f"file://{tmp_path}/log").first()["errors"] == 1
+
+
+def test_catalogue_table(spark, full):
+    full.create_table("trades_of_test")
+    full.create_table("trades_of_test")
+    spark.catalog.recoverPartitions("trades_of_test")
+    assert spark.table("trades_of_test").count() == 20
+    spark.sql("DROP TABLE trades_of_test")
+
+
 def test_config():
     assert pipeline.Config.load({}).fetch_days_back == 90
     assert pipeline.Config.load({"FETCH_DAYS_BACK": "7"}).fetch_days_back == 7
