@@ -6,7 +6,7 @@ cut-off first name, a nickname, a middle name spelled out, left out or wrong, a
 (the letters of the last name with one left out, so one typo on either side still meets, and its halves), never from all pairs. Only
 distinct spellings are scored. Two forms under which a spelling is equally likely leave it open.
 
-Cases: null and blank spellings, spellings without a letter and those with no first name stay unattached; repeated rows share one spelling;
+Cases: null and blank spellings and those without a letter stay unattached; a last name alone is attached if only one form bears it; repeated rows share one spelling;
 very long texts are parsed like others but have blocking keys of their whole length only up to 64 letters of a last name (longer ones meet
 on equality and halves); ties in posterior leave a spelling open; empty input gives no rows.
 """
@@ -87,23 +87,26 @@ def parse_name(text: str) -> list[tuple[list[str], str, str]]:
     """Readings of a spelling: (given names, compact last name, suffix)."""
     s = unicodedata.normalize("NFKC", text)
     s = _NICK.sub(" ", s)
-    parts = [_words(p) for p in s.split(",")]
+    parts = [p for p in map(_words, s.split(",")) if p]
+    if not parts:
+        return []
     suffix, kept = "", []
     for i, p in enumerate(parts):
-        p = _untitled(p) if p else p
         rest, found = _split_off(p) if i == 0 else ([w for w in p if w.lower() not in SUFFIXES], next((SUFFIXES[w.lower()] for w in p if w.lower() in SUFFIXES), ""))
         suffix = suffix or found
         if rest:
             kept.append(rest)
-    if not kept:
-        return []
     if len(kept) > 1:
-        given = _untitled([w for p in kept[1:] for w in p])
-        return [([fold(g) for g in given if fold(g)], _compact_last(kept[0]), suffix)]
-    words = kept[0]
+        given = [g for g in map(fold, _untitled([w for p in kept[1:] for w in p])) if g]
+        # a title before a last name may also be a part of it, mistyped
+        lasts = {_compact_last(kept[0]), _compact_last(_untitled(kept[0]))}
+        return [(given, last, suffix) for last in sorted(lasts) if last]
+    words = _untitled(kept[0]) if kept else []
+    if len(words) < 2:
+        return [([], _compact_last(words), suffix)] if words else []
     # a lone letter starts a last name only as the O of O'Name
     sizes = [k for k in range(1, min(4, len(words) - 1) + 1) if k == 1 or not any(len(w) == 1 and w not in "oO" for w in words[-k:-1])]
-    return [([fold(g) for g in words[:-k] if fold(g)], _compact_last(words[-k:]), suffix) for k in sizes]
+    return [([fold(g) for g in words[:-k] if fold(g)], _compact_last(words[-k:]), suffix) for k in sizes] + [([], _compact_last(words), suffix)]
 
 
 def edits(a: str, b: str, most: int = 3) -> int:
@@ -152,13 +155,13 @@ def _first_likelihood(typed: str, meant: str) -> float | None:
 def likelihood(reading: tuple[list[str], str, str], meant: tuple[list[str], str, str]) -> float | None:
     given, last, suffix = reading
     c_given, c_last, c_suffix = meant
-    if not given or not c_given or not last:
+    if not c_given or not last:
         return None
     d = edits(last, c_last, 2)
     if d > 2 or d == 2 and len(c_last) < 8 or d == 1 and len(c_last) < 4:
         return None
     score = (0.0, -2.5, -5.5)[d]
-    first = _first_likelihood(given[0], c_given[0])
+    first = _first_likelihood(given[0], c_given[0]) if given else -3.0
     if first is None:
         return None
     score += first
