@@ -59,7 +59,36 @@ def _loaded() -> str:
     )
 
 
+_EQUAL = ", ".join(
+    f"count(*) filter (leaf <> '' and {f} is not null) as n_{f}, count(*) filter (leaf <> '' and leaf = {f}) as e_{f}" for f in _FIELDS
+)
+_SHARES = ", ".join(f"{{'f': '{f}', 's': case when n_{f} > 0 then e_{f} / n_{f} else 0 end, 'e': e_{f}}}" for f in _FIELDS)
+# what a key holds is told by content alone: the column it equals most often, the key that equals a column most often
+_P6 = f"""
+with j as (select *, json(raw_json) as js from raw_transactions where json_valid(raw_json) and json_type(raw_json) = 'OBJECT'),
+k as (select j.*, unnest(json_keys(js)) as key from j),
+v as (select *, json_extract(js, '$."' || key || '"') as val from k),
+l as (select *, json_type(val) as kind, case json_type(val) when 'OBJECT' then json_extract_string(val, '$."' || json_keys(val)[1] || '"')
+  when 'ARRAY' then json_extract_string(val, '$[0]') else json_extract_string(val, '$') end as leaf from v),
+g as (select feed, batch_no, key, {_EQUAL},
+  mode(case when kind in ('UBIGINT', 'BIGINT', 'DOUBLE') then 'number' when kind <> 'NULL' then kind end) as kind from l group by all),
+c as (select feed, batch_no, key, kind, unnest([{_SHARES}]) as u from g),
+b as (select feed, batch_no, key, u.f as field, u.s as share from c where u.s >= 0.5 and u.e > 0
+  qualify row_number() over (partition by feed, batch_no, key order by u.s desc, u.e desc) = 1 and row_number() over (partition by feed, batch_no, u.f order by u.s desc, u.e desc) = 1),
+m as (select g.feed, g.batch_no, g.key, g.kind, coalesce('known ' || b.field, 'other ' || g.key) as meaning from g left join b using (feed, batch_no, key)),
+f as (select feed, batch_no, lag(batch_no) over (partition by feed order by batch_no) as before from (select distinct feed, batch_no from raw_transactions)),
+n as (select m.*, f.before from m join f using (feed, batch_no) where f.before is not null),
+o as (select m.feed, f.batch_no, m.key, m.kind, m.meaning from m join f on m.feed = f.feed and m.batch_no = f.before),
+x as (select coalesce(n.feed, o.feed) as feed, coalesce(n.batch_no, o.batch_no) as batch_no, o.key as old_key, n.key as new_key, o.kind as k0, n.kind as k1
+  from n full join o on n.feed = o.feed and n.batch_no = o.batch_no and n.meaning = o.meaning)
+select feed, batch_no, 'added' as change_kind, '' as old_key, new_key from x where old_key is null
+union all select feed, batch_no, 'removed', old_key, '' from x where new_key is null
+union all select feed, batch_no, 'renamed', old_key, new_key from x where old_key <> new_key
+union all select feed, batch_no, 'retyped', new_key, new_key from x where k0 <> k1
+"""
+
 ORACLE = {
+    "p6_found": _P6,
     "p2_found": _P2,
     "p3_found": _all_lines() + "select line_id, reason from e where reason is not null",
     "p3_loaded": _loaded(),

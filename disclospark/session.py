@@ -16,7 +16,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A fresh folder below spark.checkpoint.dir, which all executors share; a local one only where that is unset (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.gettempdir()}/disclospark-checkpoints"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
