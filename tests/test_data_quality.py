@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from disclospark.operators.bad_rows import load_lines
+from disclospark.operators.bad_rows import load_lines, split_records
 from disclospark.operators.schema_drift import schema_changes, unified_table
 from disclospark.operators.snapshots import snapshot_changes
 from disclospark.operators.timestamps import estimate_zones, normalize_times, utc_text
@@ -107,10 +107,6 @@ def test_lines(spark):
 def test_split_equals_csv(spark):
     rng = random.Random(3)
     rows = [["".join(rng.choice('ab ,;"\n') for _ in range(rng.randint(0, 6))) for _ in range(10)] for _ in range(300)]
-    df = spark.createDataFrame([(i, line(r, rng.choice(",;"))) for i, r in enumerate(rows)], "line_id long, line_text string")
-    df = df.withColumn("separator", F.when(F.size(F.split("line_text", ",")) > 0, ","))
-    from disclospark.operators.bad_rows import split_records
-
     texts = [line(r) for r in rows]
     df = spark.createDataFrame([(i, t, ",") for i, t in enumerate(texts)], "line_id long, line_text string, separator string")
     got = {r["line_id"]: (r["#broken"], r["#fields"]) for r in split_records(df, "line_text", "separator").collect()}
