@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import is_blank
+from ..session import materialize
 from .names import edits
 
 # Words that qualify an entry without changing it.
@@ -60,59 +61,61 @@ def allowed(n: int) -> int:
     return 0 if n <= 2 else 1 if n <= 9 else 2
 
 
+def readings(value: str) -> list[list[str]]:
+    """The words of a value as typed, without qualifiers, and without a code in brackets; each once, the plainest first."""
+    typed = words(value)
+    bare = words(_CODE.sub(" ", value))
+    out: list[list[str]] = []
+    for r in (typed, _plain(typed), bare, _plain(bare)):
+        if r and r not in out:
+            out.append(r)
+    return out
+
+
+def _word_by_word(t: list[str], b: list[str]) -> bool:
+    """Each word a typo of another, in the order that fits best, or all of them cut short."""
+    left, total = list(b), 0
+    for w in t:
+        d, best = min(((edits(w, z, 2), z) for z in left), key=lambda x: x[0])
+        if d > allowed(len(best)) or d > 1 and len(best) < 8:
+            break
+        total += d
+        left.remove(best)
+    else:
+        if total <= 2:
+            return True
+    return all(x == y or len(x) >= 3 and y.startswith(x) for x, y in zip(t, b, strict=True))
+
+
+def spelling_gap(tries: list[list[str]], b: list[str]) -> int | None:
+    """How far a value is from a form, or null if it isn't that form with a few typos."""
+    form, turned = "".join(b), "".join(sorted(b))
+    best, same = None, False
+    for i, t in enumerate(tries):
+        for s, r in ((("".join(t)), form), ("".join(sorted(t)), turned)):
+            n = min(len(s), len(r))
+            if abs(len(s) - len(r)) > 3:
+                d = 4
+            else:
+                d = edits(s, r, 3)
+            same = same or d == 0 or n >= 3 and d <= allowed(n) or s == r + "s"
+            gap = i + 4 * d
+            best = gap if best is None or gap < best else best
+        same = same or len(t) == len(b) > 1 and _word_by_word(t, b)
+    return best if same else None
+
+
 def same_spelling(value: str, form: str) -> bool:
     """True if the value is the form, a few typos aside."""
-    a, b = words(value), words(form)
-    if a == b:
-        return True
-    tries = [a, _plain(a), words(_CODE.sub(" ", value))]
-    tries.append(_plain(tries[-1]))
-    for t in tries:
-        for x, y in ((t, b), (sorted(t), sorted(b))):
-            s, r = "".join(x), "".join(y)
-            n = min(len(s), len(r))
-            most = allowed(n)
-            if s == r or n >= 3 and edits(s, r, most) <= most:
-                return True
-            # a plural of the last word
-            if s == r + "s":
-                return True
-        if len(t) == len(b) and len(b) > 1:
-            # each word for itself, in the order that fits best
-            left = list(b)
-            total = 0
-            for w in t:
-                best = min(left, key=lambda z: edits(w, z, 2))
-                d = edits(w, best, 2)
-                if d > allowed(len(best)) or d > 1 and len(best) < 8:
-                    total = 99
-                    break
-                total += d
-                left.remove(best)
-            if total <= 2:
-                return True
-            # shortened words: Corp. Bond
-            if all(x == y or len(x) >= 3 and y.startswith(x) for x, y in zip(t, b, strict=True)):
-                return True
-    return False
-
-
-def closeness(value: str, form: str) -> int:
-    """Fewest edits of any reading; sorts candidates that pass the check."""
-    a, b = words(value), words(form)
-    tries = [a, _plain(a), words(_CODE.sub(" ", value))]
-    tries.append(_plain(tries[-1]))
-    return min(
-        i + 4 * edits(*("".join(x) for x in p), 3)
-        for i, t in enumerate(tries)
-        for p in ((t, b), (sorted(t), sorted(b)))
-    )
+    return spelling_gap(readings(value), words(form)) is not None
 
 
 @F.pandas_udf(T.IntegerType())
 def spelling_distance(value: pd.Series, form: pd.Series) -> pd.Series:
     """Null where the check of the spelling fails."""
-    return pd.Series([closeness(v, f) if same_spelling(v, f) else None for v, f in zip(value, form, strict=True)], dtype="Int32")
+    tries = {v: readings(v) for v in value.unique()}
+    forms = {f: words(f) for f in form.unique()}
+    return pd.Series([spelling_gap(tries[v], forms[f]) for v, f in zip(value, form, strict=True)], dtype="Int32")
 
 
 def list_forms(reference: DataFrame, field: str = "field_name", code: str = "code", label: str = "label", others: str = "also_known") -> DataFrame:
@@ -126,7 +129,8 @@ def list_forms(reference: DataFrame, field: str = "field_name", code: str = "cod
 
 def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(field_name, value, code) of distinct `values` (field_name, value); `unmatched` where no entry is meant."""
-    index = forms.withColumn("gram", F.explode(value_grams("form")))
+    forms = materialize(forms.withColumn("grams", value_grams("form")))
+    index = forms.select("field_name", "code", "form", F.explode("grams").alias("gram"))
     n = forms.groupBy("field_name").agg(F.count(F.lit(1)).alias("n"))
     weight = (
         index.groupBy("field_name", "gram").agg(F.count(F.lit(1)).alias("df")).join(n, "field_name")
@@ -135,8 +139,9 @@ def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHO
     weighted = index.join(weight, ["field_name", "gram"])
     norms = weighted.groupBy("field_name", "code", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_f"))
     postings = weighted.join(norms, ["field_name", "code", "form"])
-    grams = values.withColumn("grams", value_grams("value"))
-    typed = grams.select("field_name", "value", F.explode("grams").alias("gram"))
+    postings = materialize(postings)  # as long as the list, not as the data
+    values = materialize(values.withColumn("grams", value_grams("value")))
+    typed = values.select("field_name", "value", F.explode("grams").alias("gram"))
     # grams the index doesn't know weigh as the rarest
     norm_v = (
         typed.join(weight, ["field_name", "gram"], "left").join(n, "field_name")
@@ -148,6 +153,8 @@ def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHO
         .join(norm_v, ["field_name", "value"])
         .withColumn("cosine", F.col("dot") / (F.col("norm_f") * F.col("norm_v")))
         .filter(F.col("cosine") >= threshold)
+        # few bytes, but each pair takes work: spread them as wide as any shuffle
+        .repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value", "form")
         .withColumn("distance", spelling_distance("value", "form"))
         .filter("distance is not null")
     )
@@ -167,6 +174,6 @@ def map_fields(df: DataFrame, row: str, fields: list[str], reference: DataFrame)
         F.col(row), F.inline(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).cast("string").alias("value")) for f in fields]))
     ).filter(~is_blank("value"))
     labels = reference.select("field_name", F.col("label").alias("value")).distinct()
-    odd = stacked.join(labels, ["field_name", "value"], "left_anti")
+    odd = materialize(stacked.join(labels, ["field_name", "value"], "left_anti"))
     mapped = match_values(odd.select("field_name", "value").distinct(), forms)
     return odd.join(mapped, ["field_name", "value"]).select(row, "field_name", "code")
