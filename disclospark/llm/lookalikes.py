@@ -93,7 +93,7 @@ def _shows_nothing(c: str) -> bool:
 
 
 def tables() -> tuple[dict[int, str], str]:
-    """(replacement of each character, pattern of runs of unstable ones), from the rules above and the character database."""
+    """(replacement of each character, all unstable characters), from the rules above and the character database."""
     swap: dict[int, str] = {}
     for line in LOOK_ALIKES.strip().splitlines():
         latin, _, others = line.partition(": ")
@@ -128,34 +128,33 @@ def tables() -> tuple[dict[int, str], str]:
         for _ in range(4):
             to = "".join(swap.get(ord(x), x) for x in to)
         swap[n] = to
-    spans, run = [], []
-    for n in sorted(unstable):
-        if run and n == run[-1] + 1:
-            run.append(n)
-        else:
-            spans.append(run)
-            run = [n]
-    spans.append(run)
-    chars = "".join(f"\\U{s[0]:08x}" + (f"-\\U{s[-1]:08x}" if len(s) > 1 else "") for s in spans if s)
-    return swap, f"[{chars}]+"
+    return swap, "".join(map(chr, sorted(unstable)))
 
 
-def canonicaliser(swap: dict[int, str], pattern: str) -> Callable[[str | None], str | None]:
-    runs = re.compile(pattern)
+def canonicaliser(swap: dict[int, str], unstable: str) -> Callable[[str | None], str | None]:
+    quick = frozenset(unstable)
+    control = re.compile(r"[\x00-\x08\x0e-\x1f\x7f]")
+    runs: dict[str, re.Pattern] = {}
 
     def form(text: str | None) -> str | None:
-        if not text:
+        if not text or text.isascii() and not control.search(text):
             return text
+        met = quick.intersection(text)
+        if not met:
+            return text
+        key = "".join(sorted(met))
+        if key not in runs:
+            if len(runs) > 10_000:
+                runs.clear()
+            runs[key] = re.compile(f"[{re.escape(key)}]+")
         out, at = [], 0
-        for m in runs.finditer(text):
+        for m in runs[key].finditer(text):
             # boundary context: the stable character before the run; marks after it are unstable and so part of it
             start = max(at, m.start() - 1)
             out.append(text[at:start])
             plain = unicodedata.normalize("NFD", text[start : m.end()].translate(swap)).translate(swap)
             out.append(unicodedata.normalize("NFC", plain))
             at = m.end()
-        if not at:
-            return text
         out.append(text[at:])
         joined = "".join(out)
         # where a removed character had parted a starter from what follows, the context was wider
@@ -167,10 +166,10 @@ def canonicaliser(swap: dict[int, str], pattern: str) -> Callable[[str | None],
 def canonical_texts(df: DataFrame, text: str, keep: list[str], with_text: bool = True) -> DataFrame:
     """`keep`, `form` (the canonical text; left out if not asked for), form_hash and text_hash (128 bits as hex; null for null)."""
 
-    swap, pattern = tables()  # made once, by the driver
+    swap, unstable = tables()  # made once, by the driver
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form = canonicaliser(swap, pattern)
+        form = canonicaliser(swap, unstable)
         digest = lambda t: None if t is None else xxhash.xxh3_128_hexdigest(t.encode("utf-8", "replace"))
         for b in batches:
             for part in (b.slice(i, 512) for i in range(0, b.num_rows, 512)):
