@@ -245,9 +245,8 @@ def attach(spellings: DataFrame, forms: DataFrame) -> DataFrame:
     return best.select("spelling", "b.form_id", "b.posterior").join(rivals, "spelling", "left_anti")
 
 
-def member_spelling(prefix: str = "prefix", first: str = "first", last: str = "last", suffix: str = "suffix") -> Column:
-    """The name of a row whose parts stand in fields, as one spelling; the prefix says nothing about who is meant."""
-    del prefix
+def member_spelling(first: str = "first", last: str = "last", suffix: str = "suffix") -> Column:
+    """The name of a row whose parts stand in fields, as one spelling; a prefix says nothing about who is meant."""
     return form_text(F.col(first), F.col(last), F.col(suffix))
 
 
