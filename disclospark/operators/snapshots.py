@@ -100,7 +100,8 @@ def snapshot_changes(
         return df.select(F.col(snapshot), F.col(key), F.lit("").alias("change_kind")).limit(0)
     buckets = max(1, -(-top["n"] // rows_per_bucket))
     bucketed = records.join(F.broadcast(numbered.drop("n")), "snap").withColumn("bucket", F.pmod("h_key", F.lit(buckets)).cast("int"))
-    signed = bucketed.withColumn(
+    # one shuffle by bucket serves both aggregates below: cells and buckets of a bucket are in one place then
+    signed = bucketed.select("pair_no", "bucket", "h_key", "h_value", "h_check").repartition("bucket").withColumn(
         "sides", F.array(F.struct("pair_no", F.lit(1).alias("side")), F.struct((F.col("pair_no") + 1).alias("pair_no"), F.lit(-1).alias("side")))
     ).select("bucket", "h_key", "h_value", "h_check", F.inline("sides"))
     signed = signed.filter(F.col("pair_no").between(2, top["last"]))
