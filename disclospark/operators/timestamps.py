@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col, wide_trim
+from ..session import materialize
 
 # Zone abbreviations of the United States as printed on filings; two-letter ones follow daylight saving.
 ABBREVIATIONS = {
@@ -31,6 +32,8 @@ ABBREVIATIONS = {
     "ast": "-04:00", "adt": "-03:00", "at": "America/Puerto_Rico",
     "sst": "-11:00", "chst": "+10:00",
 }
+#: Estimated zones are broadcast up to this many groups (a name and a zone each); more are joined by a shuffle.
+BROADCAST_GROUPS = 100_000
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 _DATE = (
@@ -153,7 +156,10 @@ def normalize_times(
     parsed = parsed.withColumn("used_zone", stated)
     if group and ingested and candidates:
         bare = parsed.filter(F.col("used_zone").isNull() & F.col("named_zone").isNull())
-        parsed = parsed.join(estimate_zones(bare, group, ingested, candidates), group, "left")
+        estimates = materialize(estimate_zones(bare, group, ingested, candidates))
+        if estimates.count() <= BROADCAST_GROUPS:
+            estimates = F.broadcast(estimates)
+        parsed = parsed.join(estimates, group, "left")
         own = F.when(F.col("named_zone").isNull(), F.col("estimated_zone"))
         parsed = parsed.withColumn("used_zone", F.coalesce("used_zone", own)).drop("estimated_zone")
     return parsed.withColumn("utc", F.when(F.col("used_zone").isNotNull(), to_utc(F.col("local"), F.col("used_zone")))).drop(

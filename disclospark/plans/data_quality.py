@@ -10,7 +10,7 @@ from ..functions.text import drop_blanks, wide_trim
 from ..operators.bad_rows import load_lines
 from ..operators.schema_drift import schema_changes, unified_table
 from ..operators.snapshots import snapshot_changes
-from ..operators.timestamps import normalize_times, utc_text
+from ..operators.timestamps import has_clock_time, normalize_times, utc_text
 from ..session import read_table
 from .data_quality_sql import ORACLE
 
@@ -55,7 +55,8 @@ def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _times(df: DataFrame, table: str, row: str, column: str, group: str, ingested: str | None) -> DataFrame:
-    out = normalize_times(df, column, "office_tz", group if ingested else None, ingested, OFFICE_ZONES)
+    clocks = df.filter(has_clock_time(column))  # plain dates are no cases
+    out = normalize_times(clocks, column, "office_tz", group if ingested else None, ingested, OFFICE_ZONES)
     return out.filter("utc is not null").select(
         F.lit(table).alias("source_table"),
         F.col(row).alias("row_id"),
