@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,45 +148,82 @@ def _bits(fp: np.ndarray, m: int) -> np.ndarray:
     return (((a[:, None] + i * (b >> np.uint64(18))[:, None]) & np.uint64(0xFFFFFFFFFFFF)) % np.uint64(m)).astype(np.int64)
 
 
+def _flat(lists: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """All fingerprints in one array, and the row each belongs to."""
+    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+    flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
+    return flat, np.repeat(np.arange(len(lists)), sizes)
+
+
 def _roll(m: int):  # noqa: ANN202
-    """One filter with its new fingerprints: the filter brought up to date, and of the batch's fingerprints those it may hold."""
+    """One filter with its new contents: the filter brought up to date, and the batch's contents of which it may hold a fingerprint."""
 
     def run(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         is_filter = known["bits"].notna()
         filters = known.loc[is_filter, "bits"]
         bits = np.unpackbits(np.frombuffer(filters.iloc[0], np.uint8), count=m).astype(bool) if len(filters) else np.zeros(m, bool)
-        added = known.loc[~is_filter, "fp"].to_numpy()
-        if len(added):
-            bits[_bits(added, m).ravel()] = True
-        passed = new[bits[_bits(new["fp"].to_numpy(), m)].all(axis=1)] if len(new) else new
-        content = pd.array([None, *passed["content"].tolist()], dtype="Int64")  # floats would lose digits
-        return pd.DataFrame({"part": np.int32(key[0]), "bits": [np.packbits(bits).tobytes(), *[None] * len(passed)], "content": content})
+        added, _ = _flat(known.loc[~is_filter, "fps"])
+        for i in range(0, len(added), 1 << 16):  # a slice at a time: memory stays that of the filter
+            bits[_bits(added[i : i + (1 << 16)], m).ravel()] = True
+        fps, row = _flat(new["fps"])
+        hit = np.zeros(len(new), bool)
+        for i in range(0, len(fps), 1 << 16):
+            passed = bits[_bits(fps[i : i + (1 << 16)], m)].all(axis=1)
+            hit[row[i : i + (1 << 16)][passed]] = True
+        content = pd.array([None, *new.loc[hit, "content"].tolist()], dtype="Int64")  # floats would lose digits
+        return pd.DataFrame({"part": np.int32(key[0]), "bits": [np.packbits(bits).tobytes(), *[None] * int(hit.sum())], "content": content})
 
     return run
 
 
+def arrival() -> Column:
+    """What sorts as the order of arrival: batch, place in it, name."""
+    return F.struct("batch", "seq", "original")
+
+
 def prepare(rows: DataFrame) -> DataFrame:
-    """Contents of all batches, fingerprinted once and written by batch: block, content, words, fps, ord, original, crowd, batch.
+    """Contents of all batches, fingerprinted once and written by batch: batch, block, content, words, fps, seq, original, rows, crowd.
 
-    `rows`: batch, block, content, words, ord (text that sorts as the order of arrival), original (the row's own name). Equal contents of a
-    batch are aggregated, map-side first, before anything is fingerprinted. `crowd` is the number of contents of a block in its batch.
+    `rows`: batch, block, content, words, seq (long, order in the batch), original (the row's own name). Equal contents of a
+    batch are aggregated, map-side first, before anything is fingerprinted. `rows` counts them; `crowd` is the number of contents of a block in
+    its batch.
     """
-    first = F.min(F.struct("ord", "original")).alias("f")
-    contents = rows.groupBy("batch", "block", "content").agg(first, F.first("words").alias("words"))
+    first = F.min(F.struct("seq", "original")).alias("f")
+    contents = rows.groupBy("batch", "block", "content").agg(first, F.first("words").alias("words"), F.count(F.lit(1)).alias("rows"))
     crowd = F.count(F.lit(1)).over(W.partitionBy("batch", "block")).alias("crowd")
-    counted = contents.select("batch", "block", "content", "words", "f.ord", "f.original", crowd)
+    counted = contents.select("batch", "block", "content", "words", "f.seq", "f.original", "rows", crowd)
     salted = F.transform(F.col("grams"), lambda g: F.xxhash64("block", g))
     return materialize(counted.withColumn("grams", winnowed("words")).withColumn("fps", salted).drop("grams"), ("batch",))
 
 
+def _others(df: DataFrame) -> DataFrame:
+    return df.select("block", F.col("words").alias("other_words"), F.col("fps").alias("other_fps"), arrival().alias("other_at"))
+
+
+def _agreeing(pairs: DataFrame) -> DataFrame:
+    """Pairs that share enough fingerprints and agree word by word."""
+    shared = F.size(F.array_intersect("fps", "other_fps"))
+    enough = shared >= F.greatest(F.lit(1.0), COVERAGE * F.least(F.size("fps"), F.size("other_fps")))
+    return pairs.filter(enough).filter(same_words("words", "other_words"))
+
+
+def repeats_inside(contents: DataFrame) -> DataFrame:
+    """(batch, content, other_at): of each content of a batch the first earlier one of the same batch that agrees. Made once for all batches."""
+    crowded = contents.filter("crowd > 1")
+    mine = crowded.select("batch", "block", "content", "words", "fps", arrival().alias("at"))
+    pairs = mine.join(_others(crowded).withColumn("batch", F.col("other_at.batch")), ["batch", "block"]).filter("other_at < at")
+    return materialize(_agreeing(pairs).groupBy("batch", "content").agg(F.min("other_at").alias("other_at")))
+
+
 class HistoryStore:
     """Accepted contents with their fingerprints, and the Bloom filters over these, in a shared folder.
 
-    There are `parts` filters of `bits` bits. That is a capacity, not a limit: beyond about bits / 10 fingerprints a filter lets more through,
-    which costs look-ups, never rows.
+    There are `parts` filters of `bits` bits, a block's fingerprints all in one. That is a capacity, not a limit: beyond about bits / 10
+    fingerprints a filter lets more through, which costs look-ups, never rows.
     """
 
-    DECIDED = "block long, content long, words array<string>, fps array<long>, ord string, original string, known_as string"
+    COLUMNS = ("batch", "block", "content", "words", "fps", "seq", "original", "rows")
+    DECIDED = "batch int, block long, content long, words array<string>, fps array<long>, seq long, original string, rows long, known_as string"
     #: Screened contents of a batch are broadcast up to this many (each under 1 kB); more are joined by a shuffle.
     BROADCAST_ROWS = 100_000
 
@@ -194,13 +231,16 @@ class HistoryStore:
         self.spark, self.path, self.parts, self.bits = spark, path or shared_dir(spark), parts, bits
         self.steps: list[str] = []
         self.filters: DataFrame | None = None
+        self.passed = 0
 
     def accepted(self) -> DataFrame:
         return self.spark.read.schema(self.DECIDED).parquet(*self.steps).filter("known_as is null")
 
-    def _prints(self, contents: DataFrame) -> DataFrame:
-        fps = contents.select(F.explode("fps").alias("fp"), "content")
-        return fps.select(F.pmod("fp", F.lit(self.parts)).cast("int").alias("part"), "fp", "content")
+    def decided(self) -> DataFrame:
+        return self.spark.read.schema(self.DECIDED).parquet(*self.steps)
+
+    def _part(self) -> Column:
+        return F.pmod("block", F.lit(self.parts)).cast("int").alias("part")
 
     def _append(self, decided: DataFrame) -> DataFrame:
         at = f"{self.path}/{len(self.steps)}/contents"
@@ -211,46 +251,43 @@ class HistoryStore:
     def _screen(self, contents: DataFrame) -> DataFrame:
         """Contents of which the filters may hold a fingerprint. What the last step accepted enters the filters on the way."""
         last = self.spark.read.schema(self.DECIDED).parquet(self.steps[-1]).filter("known_as is null")
-        known = self._prints(last).select("part", F.lit(None).cast("binary").alias("bits"), "fp")
+        known = last.select(self._part(), F.lit(None).cast("binary").alias("bits"), "fps")
         if self.filters is not None:
-            known = self.filters.select("part", "bits", F.lit(0).cast("long").alias("fp")).unionByName(known)
+            known = self.filters.select("part", "bits", F.lit(None).cast("array<long>").alias("fps")).unionByName(known)
         at = f"{self.path}/{len(self.steps)}/filters"
-        rolled = known.groupBy("part").cogroup(self._prints(contents).groupBy("part")).applyInPandas(
-            _roll(self.bits), "part int, bits binary, content long"
-        )
-        rolled.write.parquet(at)
+        new = contents.select(self._part(), "fps", "content")
+        rolled = known.groupBy("part").cogroup(new.groupBy("part")).applyInPandas(_roll(self.bits), "part int, bits binary, content long")
+        seen = Observation()
+        rolled.observe(seen, F.count("content").alias("n")).write.parquet(at)
+        self.passed = int(seen.get["n"] or 0)
         out = self.spark.read.schema("part int, bits binary, content long").parquet(at)
         self.filters = out.filter("bits is not null")
         return out.filter("content is not null").select("content").distinct()
 
     def seed(self, contents: DataFrame) -> None:
         """Fill the empty store with contents that are accepted as they stand."""
-        self._append(contents.select("block", "content", "words", "fps", "ord", "original", F.lit(None).cast("string").alias("known_as")))
+        self._append(contents.select(*self.COLUMNS, F.lit(None).cast("string").alias("known_as")))
+
+    def check(self, contents: DataFrame, inside: DataFrame) -> DataFrame:
+        """The batch's contents with `known_as`: the original they repeat, null for new ones, which are accepted.
 
-    def check(self, contents: DataFrame) -> DataFrame:
-        """The batch's contents with `known_as`: the original they repeat, null for new ones, which are accepted."""
-        mine = ("block", "content", "words", "fps", "ord")
-        pairs = None
-        others = lambda df: df.select("block", *[F.col(c).alias(f"other_{c}") for c in ("words", "fps", "ord", "original")])
+        `inside`: the batch's part of repeats_inside().
+        """
+        first = inside.select("content", "other_at")
         if self.steps:
             passed = self._screen(contents)
-            screened = contents.select(*mine).join(passed, "content", "left_semi")
-            if passed.count() <= self.BROADCAST_ROWS:
+            screened = contents.join(passed, "content", "left_semi").select("block", "content", "words", "fps")
+            if self.passed <= self.BROADCAST_ROWS:
                 screened = F.broadcast(screened)
-            pairs = others(self.accepted()).join(screened, "block")
-        crowded = contents.filter("crowd > 1")
-        inner = crowded.select(*mine).join(others(crowded), "block").filter(F.col("other_ord") < F.col("ord"))
-        pairs = inner if pairs is None else pairs.select(*inner.columns).unionByName(inner)
-        shared = F.size(F.array_intersect("fps", "other_fps"))
-        enough = shared >= F.greatest(F.lit(1.0), COVERAGE * F.least(F.size("fps"), F.size("other_fps")))
-        verified = pairs.filter(enough).filter(same_words("words", "other_words"))
-        first = verified.groupBy("content").agg(F.min(F.struct("other_ord", "other_original")).alias("m"))
-        first = first.select("content", F.col("m.other_original").alias("known_as"))
-        return self._append(contents.join(first, "content", "left").select("block", "content", "words", "fps", "ord", "original", "known_as"))
+            pairs = _others(self.accepted()).join(screened, "block")
+            first = _agreeing(pairs).select("content", "other_at").unionByName(first)
+        first = first.groupBy("content").agg(F.min("other_at").alias("m")).select("content", F.col("m.original").alias("known_as"))
+        return self._append(contents.join(first, "content", "left").select(*self.COLUMNS, "known_as"))
 
 
 def repeated_rows(rows: DataFrame, decided: DataFrame) -> DataFrame:
-    """(row_id, original) of rows that repeat something: `rows` row_id, batch, content, ord; `decided` batch, content, ord, original, known_as."""
-    firsts = decided.select("batch", "content", "known_as", F.col("ord").alias("first_ord"), F.col("original").alias("first_original"))
-    known = F.coalesce("known_as", F.when(F.col("ord") != F.col("first_ord"), F.col("first_original")))
-    return rows.join(firsts, ["batch", "content"]).select("row_id", known.alias("original")).filter("original is not null")
+    """(row_id, original) of rows that repeat something. `rows`: row_id, batch, content, original (the row's own name)."""
+    # contents that are new and have one row repeat nothing
+    firsts = decided.filter("known_as is not null or rows > 1").select("batch", "content", "known_as", F.col("original").alias("first_original"))
+    known = F.coalesce("known_as", F.when(F.col("original") != F.col("first_original"), F.col("first_original")))
+    return rows.select("row_id", "batch", "content", "original").join(firsts, ["batch", "content"]).select("row_id", known.alias("original")).filter("original is not null")

@@ -10,7 +10,7 @@ from ..functions.text import is_blank
 from ..operators.timestamps import local_day, normalize_times
 from ..session import materialize, read_table
 from .canonical import map_fields
-from .history_dedup import HistoryStore, amount_ends, prepare, repeated_rows, with_content
+from .history_dedup import HistoryStore, amount_ends, prepare, repeated_rows, repeats_inside, with_content
 from .lookalikes import canonical_texts, same_looking
 from .mixing import mix
 from .names import attribute, member_spelling
@@ -19,10 +19,12 @@ from .tokenizer import count_tokens, encode_texts
 
 #: The batch number that stands for what was accepted before the first batch.
 ACCEPTED = -1
+#: Resolved spellings are broadcast up to this many (each under 200 bytes); more are joined by a shuffle.
+BROADCAST_SPELLINGS = 200_000
 
 
 def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted and incoming trades: batch, row_id (null for accepted ones), content, block, words, ord, original."""
+    """Accepted and incoming trades: batch, row_id (null for accepted ones), content, block, words, seq, original."""
     register = read_table(spark, sf_dir, "filers")
     old = read_table(spark, sf_dir, "transactions").select("id", "politician", "transaction_date", "asset_name", "amount_min", "amount_max", "created_at")
     raw = read_table(spark, sf_dir, "raw_transactions").select("row_id", "batch_no", "politician", "transaction_date", "asset_name", "amount", "office_tz")
@@ -39,17 +41,19 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         .filter("day is not null")
         .select(
             F.col("batch_no").alias("batch"), "row_id", "politician", "asset_name", "day", lo.alias("lo"), hi.alias("hi"),
-            F.concat(F.lit("1"), F.lpad(F.col("batch_no").cast("string"), 10, "0"), F.lpad(F.col("row_id").cast("string"), 20, "0")).alias("ord"),
+            F.col("row_id").alias("seq"),
             F.col("row_id").cast("string").alias("original"),
         )
     )
     accepted = old.filter(~is_blank("politician") & ~is_blank("asset_name") & F.col("transaction_date").isNotNull()).select(
         F.lit(ACCEPTED).alias("batch"), "politician", "asset_name", F.col("transaction_date").cast("date").alias("day"), F.col("amount_min").alias("lo"), F.col("amount_max").alias("hi"),
-        F.concat_ws("~", F.lit("0"), F.coalesce(F.col("created_at").cast("string"), F.lit("")), "id").alias("ord"), F.col("id").alias("original"),
+        F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(0)).alias("seq"), F.col("id").alias("original"),
     )
     both = accepted.unionByName(incoming, allowMissingColumns=True)
+    if person.count() <= BROADCAST_SPELLINGS:
+        person = F.broadcast(person)
     named = both.join(person, "politician", "left").withColumn("person", F.coalesce("person", F.lower("politician")))
-    return materialize(with_content(named, "person", "asset_name", "day", "lo", "hi").select("batch", "row_id", "content", "block", "words", "ord", "original"))
+    return materialize(with_content(named, "person", "asset_name", "day", "lo", "hi").select("batch", "row_id", "content", "block", "words", "seq", "original"))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,18 +62,15 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     contents = prepare(rows)
     # a catalogue of deliveries: one small row a batch
     sizes = {r["batch"]: r["n"] for r in contents.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
+    inside = repeats_inside(contents)
     store = HistoryStore(spark, parts=max(4, -(-sum(sizes.values()) * 100 // (1 << 22))))
-    decided = None
     for no in sorted(sizes):
         batch = contents.filter(F.col("batch") == no)
-        if no == ACCEPTED:
-            store.seed(batch)
-            continue
-        out = store.check(batch).withColumn("batch", F.lit(no))
-        decided = out if decided is None else decided.unionByName(out)
-    if decided is None:
+        store.seed(batch) if no == ACCEPTED else store.check(batch, inside.filter(F.col("batch") == no))
+    if not sizes:
         return spark.createDataFrame([], "row_id long, original string")
-    return repeated_rows(rows.filter(F.col("batch") != ACCEPTED), decided)
+    incoming = F.col("batch") != ACCEPTED
+    return repeated_rows(rows.filter(incoming), store.decided().filter(incoming))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
