@@ -426,7 +426,10 @@ def xml_index_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ptr_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report texts built of the accepted trades, glued as PDF extraction glues them, read back."""
+    """Report texts built of the accepted trades, glued as PDF extraction glues them, read back.
+
+    Only of trades with a ticker, and with an open range closed at its lower end, as its SQL has them; the parser reads the others too.
+    """
     t = _accepted(spark, sf_dir).filter("ticker is not null")
     us = lambda c: F.date_format(c, "MM/dd/yyyy")
     money = F.concat(F.lit("$"), F.format_number("amount_min", 0), F.lit(" - $"), F.format_number(F.coalesce("amount_max", "amount_min"), 0))

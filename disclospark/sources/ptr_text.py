@@ -1,8 +1,8 @@
 """Text of report PDFs to raw transactions.
 
-The grammar is this engine's own. A record is anchored on its `(TICKER) [TYPE]` marker: the asset name stands before it, kind,
-two dates and amount after it, an owner code may lead the asset name, which may then run over lines. Null characters vanish; glued fields are read
-apart by their shapes.
+The grammar is this engine's own. A record is anchored on its `(TICKER) [TYPE]` marker, or on `[TYPE]` alone where the asset has no ticker (bonds,
+municipals, funds): the asset name stands before it, kind, two dates and amount after it, an owner code may lead the asset name, which may then run
+over lines. Null characters vanish; glued fields are read apart by their shapes.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ KIND_CODES = {"P": "Purchase", "S": "Sale", "S (partial)": "Sale (Partial)", "E"
 
 _AMOUNT = r"\$[\d,]+(?:\s*[-\x{2013}]\s*\$[\d,]+)?|Over\s+\$[\d,]+"
 _RECORD = (
-    r"(\b(?:SP|DC|JT)\s[^\[\]]{1,300}?|[^\[\]\n]+?)\(([A-Za-z0-9.\-]{1,8})\)\s*\[([A-Z]{2,3})\]\s*"
+    r"(\b(?:SP|DC|JT)\s[^\[\]]{1,300}?|[^\[\]\n]+?)(?:\(([A-Za-z0-9.\-]{1,8})\)\s*)?\[([A-Z]{2,3})\]\s*"
     r"(P|S \(partial\)|S|E)\s*(\d{1,2}/\d{1,2}/\d{4})\s*(\d{1,2}/\d{1,2}/\d{4})\s*(" + _AMOUNT + ")"
 )
 
@@ -35,7 +35,7 @@ def parse_ptr_text(df: DataFrame, column: str = "text") -> DataFrame:
         F.col("member").alias("politician"),
         g(5).alias("transaction_date"),
         F.col("filingDate").cast("string").alias("filing_date"),
-        g(2).alias("ticker"),
+        F.nullif(g(2), F.lit("")).alias("ticker"),
         wide_trim(F.regexp_replace(lead, r"\A(SP|DC|JT)\s+", "")).alias("asset_name"),
         g(3).alias("asset_type"),
         table(KIND_CODES, g(4)).alias("type"),

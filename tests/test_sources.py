@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from disclospark import sources
 from disclospark.sources import html, json_hits, landing, listing, ptr_text, xml_index
 
+from .compare import SF, sparked
+
 UUID = "0A1b2c3d-0000-1111-2222-333344445555"
 MEMBER = "<Member><Prefix>Hon.</Prefix><Last>{last}</Last><First>Ann</First><Suffix>{suffix}</Suffix><FilingType>{kind}</FilingType><StateDst>CA1</StateDst><Year>2026</Year><FilingDate>{day}</FilingDate><DocID>{doc}</DocID></Member>"
 
@@ -108,3 +110,32 @@ def test_ptr_text(spark):
     assert a["asset_name"].endswith("Apple Inc.")
     assert (b["ticker"], b["owner"], b["type"], b["amount"]) == ("X.B", "Self", "Sale (Partial)", "Over $50,000,000")
     assert b["asset_name"].endswith("of a fund")
+
+
+def test_ptr_text_without_ticker(spark):
+    text = (
+        "SP US Treasury Bond 1.875% due 08/15/2047\x00 [GS] P 01/02/202601/03/2026$1,001 - $15,000\nSP Apple Inc. (AAPL) [ST]P 01/02/202601/03/2026$1,001 - $15,000\n"
+        "comment: none\nKrorackley County (Dist. 4) School 3.00% [MS]S (partial) 1/2/2026 1/3/2026 Over $50,000,000 tail"
+    )
+    df = spark.createDataFrame([("Ann", "1/5/2026", "d1", text)], "member string, filingDate string, docId string, text string")
+    got = [(r["ticker"], r["asset_name"], r["asset_type"], r["owner"], r["type"], r["amount"], r["source_id"]) for r in ptr_text.parse_ptr_text(df).collect()]
+    assert got == [
+        (None, "US Treasury Bond 1.875% due 08/15/2047", "GS", "Spouse", "Purchase", "$1,001 - $15,000", "d1|0"),
+        ("AAPL", "Apple Inc.", "ST", "Spouse", "Purchase", "$1,001 - $15,000", "d1|1"),
+        (None, "Krorackley County (Dist. 4) School 3.00%", "MS", "Self", "Sale (Partial)", "Over $50,000,000", "d1|2"),
+    ]
+
+
+def test_ptr_text_of_all_accepted_trades(spark):
+    """With and without ticker, open ranges as `Over`: every accepted trade is read back as it was."""
+    t = spark.read.parquet(f"{SF}/transactions.parquet")
+    dollars = lambda c: F.concat(F.lit("$"), F.format_number(c, 0))
+    amount = F.when(F.col("amount_max").isNull(), F.concat(F.lit("Over "), dollars("amount_min"))).otherwise(F.concat(dollars("amount_min"), F.lit(" - "), dollars("amount_max")))
+    day = F.date_format("transaction_date", "MM/dd/yyyy")
+    marker = F.coalesce(F.concat(F.lit("("), F.col("ticker"), F.lit(") ")), F.lit(""))
+    text = F.concat(F.lit("SP "), "asset_name", F.lit("\x00 "), marker, F.lit("[ST] P "), day, F.date_format("filing_date", "MM/dd/yyyy"), amount)
+    docs = t.select(F.col("politician").alias("member"), F.col("filing_date").alias("filingDate"), F.col("id").alias("docId"), text.alias("text"))
+    columns = ["politician", "transaction_date", "ticker", "asset_name", "amount", "source_id"]
+    want = t.select("politician", day.alias("transaction_date"), "ticker", "asset_name", amount.alias("amount"), F.concat("id", F.lit("|0")).alias("source_id"))
+    assert t.filter("ticker is null").count() > 0
+    assert sparked(ptr_text.parse_ptr_text(docs).select(*columns)) == sparked(want)
