@@ -1,6 +1,6 @@
 """Variant spellings of people's names: noisy-channel attribution.
 
-A register and the frequent spellings that aren't in it are the candidate canonical forms. A spelling is attached to the form with the
+A register and the spellings that aren't in it, seldom or frequent, are the candidate canonical forms. A spelling is attached to the form with the
 largest posterior: the logarithm of the form's frequency (prior) plus the likelihood that its parts were typed this way: a typo, an initial, a
 cut-off first name, a nickname, a middle name spelled out, left out or wrong, a suffix left out. Candidates come from an equi-join on blocking keys
 (the letters of the last name with one left out, so one typo on either side still meets, and its halves), never from all pairs. Only
@@ -42,6 +42,7 @@ SHORT_FORMS = {k: frozenset(v.split()) for k, v in NICKNAMES.items()}
 
 FLOOR = -9.0
 OPEN_WITHIN = 0.25
+DOUBTFUL = -4.5
 _NICK = re.compile(r"[\"“”(]\s*[\w.\- ]{1,30}\s*[\"“”)]")
 _WORD = re.compile(r"[^\W\d_][\w’'‘`´-]*\.?|\d(?:nd|rd|th)\b")
 _GLUED = re.compile(r"(?<=\w)\.(?=\w)")
@@ -254,12 +255,65 @@ def has_letter(c: str) -> Column:
     return F.coalesce(F.col(c).rlike(r"\p{L}"), F.lit(False))
 
 
-def attribute(spellings: DataFrame, register: DataFrame, frequent: int = 2) -> DataFrame:
+def _ends(links: DataFrame) -> DataFrame:
+    """(spelling, end): the links spelling -> form_id followed to where they end, twice as far each time. Around a circle the least name counts."""
+    walk, steps = links.select("spelling", F.col("form_id").alias("at"), F.col("spelling").alias("least")), 1
+    while True:
+        ahead = walk.select(F.col("spelling").alias("at"), F.col("at").alias("then"), F.col("least").alias("least_then"))
+        walk = materialize(walk.join(ahead, "at", "left"))
+        left = walk.agg(F.count("then").alias("moving"), F.count(F.lit(1)).alias("all")).first()
+        if not left["moving"] or steps > left["all"]:
+            return walk.select("spelling", F.coalesce("least_then", "at").alias("end"))
+        walk = walk.select("spelling", F.coalesce("then", "at").alias("at"), F.least("least", "least_then").alias("least"))
+        steps *= 2
+
+
+def link_people(spellings: DataFrame) -> DataFrame:
+    """(spelling, person) of spellings that stand for the same person as another one. `spellings`: spelling, frequency (distinct).
+
+    Of two spellings that may be the same name, the one that is likelier typed for the other hangs on it, or the rarer one if both are as likely;
+    how often either occurs is only compared, so more rows of the same kind link the same spellings. Each hangs on its likeliest form, which may itself
+    hang on another; the last one is the person. Forms of two persons under which a spelling is equally likely leave it open. A link less likely
+    than DOUBTFUL counts only if the form is spelled so at least twice as often.
+    """
+    keyed = spellings.select("spelling", F.explode(blocking_keys("spelling")).alias("k"))
+    pairs = keyed.join(keyed.withColumnRenamed("spelling", "other"), "k").filter("spelling < other").select("spelling", "other").distinct()
+    scored = (
+        pairs.join(spellings, "spelling")
+        .join(spellings.select(F.col("spelling").alias("other"), F.col("frequency").alias("other_frequency")), "other")
+        .withColumn("there", F.coalesce(spelling_likelihood("spelling", "other"), F.lit(FLOOR - 1)))
+        .withColumn("back", F.coalesce(spelling_likelihood("other", "spelling"), F.lit(FLOOR - 1)))
+        .withColumn("up", (F.col("there") > F.col("back")) | (F.col("there") == F.col("back")) & (F.col("other_frequency") > F.col("frequency")))
+    )
+    mine, form = F.struct("spelling", "frequency"), F.struct(F.col("other").alias("spelling"), F.col("other_frequency").alias("frequency"))
+    scored = materialize(
+        scored.select(F.when(F.col("up"), mine).otherwise(form).alias("x"), F.when(F.col("up"), form).otherwise(mine).alias("f"), F.greatest("there", "back").alias("likely"))
+        .filter((F.col("likely") >= FLOOR) & ((F.col("likely") >= DOUBTFUL) | (F.col("f.frequency") >= 2 * F.col("x.frequency"))))
+        .select(F.col("x.spelling").alias("spelling"), F.col("f.spelling").alias("form_id"), "likely", (F.col("likely") + 0.05 * F.log(F.col("f.frequency") + F.lit(1.0))).alias("posterior"))
+    )
+    if scored.isEmpty():
+        return scored.select("spelling", F.col("form_id").alias("person"))
+    best = scored.groupBy("spelling").agg(F.max_by(F.struct("form_id", "likely"), F.struct("posterior", "form_id")).alias("b"))
+    links = materialize(best.select("spelling", "b.form_id", F.col("b.likely").alias("own_likely")))
+    while True:
+        ends = _ends(links)
+        near = scored.join(links.select("spelling", F.col("form_id").alias("own"), "own_likely"), "spelling").filter(
+            (F.col("form_id") != F.col("own")) & (F.col("likely") > F.col("own_likely") - OPEN_WITHIN)
+        )
+        theirs = ends.select(F.col("spelling").alias("form_id"), F.col("end").alias("their_end"))
+        rivals = near.join(ends, "spelling").join(theirs, "form_id", "left").filter(F.coalesce("their_end", "form_id") != F.col("end"))
+        open_ones = materialize(rivals.select("spelling").distinct())
+        if open_ones.isEmpty():
+            return ends.select("spelling", F.col("end").alias("person"))
+        links = materialize(links.join(open_ones, "spelling", "left_anti"))
+
+
+def attribute(spellings: DataFrame, register: DataFrame) -> DataFrame:
     """(spelling, filer_id, person) of every spelling with a letter.
 
     `spellings`: spelling, frequency (distinct). `register`: filer_id, full_name, first, last, suffix. filer_id is null where no
-    filer of the register is meant; `person` names the form a spelling stands for: the filer, or a form outside the register that is
-    spelled so at least `frequent` times, or else the spelling itself.
+    filer of the register is meant; `person` names the form a spelling stands for: the filer, or the spelling outside the register that it
+    most likely stands for, or else the spelling itself.
     """
     known = register.select(
         F.col("filer_id"), F.col("full_name").alias("spelling"), form_text(F.col("first"), F.col("last"), F.col("suffix")).alias("form")
@@ -274,10 +328,6 @@ def attribute(spellings: DataFrame, register: DataFrame, frequent: int = 2) -> D
     settled = materialize(
         looked.join(attached, "spelling", "left").select("spelling", "frequency", F.coalesce("exact_id", "near_id").alias("filer_id"))
     )
-    rest = settled.filter("filer_id is null")
-    frequent_forms = rest.filter((F.col("frequency") >= frequent) & F.col("spelling").rlike(r"\p{L}{3}.*\s.*\p{L}{3}")).select(
-        F.col("spelling").alias("form_id"), F.col("spelling").alias("form"), "frequency"
-    )
-    others = attach(rest.join(frequent_forms.select(F.col("form_id").alias("spelling")), "spelling", "left_anti"), frequent_forms)
-    person = F.coalesce(F.concat(F.lit("#"), F.col("filer_id").cast("string")), F.col("form_id"), F.col("spelling"))
-    return settled.join(others.select("spelling", "form_id"), "spelling", "left").select("spelling", "filer_id", person.alias("person"))
+    others = link_people(settled.filter("filer_id is null").select("spelling", "frequency"))
+    person = F.coalesce(F.concat(F.lit("#"), F.col("filer_id").cast("string")), F.col("person"), F.col("spelling"))
+    return settled.join(others, "spelling", "left").select("spelling", "filer_id", person.alias("person"))

@@ -37,6 +37,37 @@ def test_people_outside_the_register(spark, register):
     assert got["Paula Other"] == (None, "Paula Other")
 
 
+BUSY = {
+    "James Stannaarra": 9, "James Stanaarra": 4, "Stannaarra, J.": 12, "Jim Stannaarra": 3, "James Stanaara": 2, "Bob Ulvendorf": 8, "Robert Ulvendorf": 3, "Li Wu": 2, "Wu, Li": 1,
+    "Samuel Hollbrandt": 20, "Samuel A. Hollbrandt": 5, "Samuel T. Hollbrandt": 5, "Samuel T. Hollbradnt": 2, "Patrick Worriciwe": 6, "Patricia Worriciwe": 6, "Ann Mellanby": 1, "Ann Melanby": 1,
+}
+
+
+@pytest.mark.parametrize("times", [1, 50])
+def test_people_outside_the_register_at_any_size(spark, register, times):
+    """Every spelling repeated: variants of one person stay together, and persons apart."""
+    spelled = spark.createDataFrame([(s, n * times) for s, n in BUSY.items()], "spelling string, frequency long")
+    got = {r["spelling"]: r["person"] for r in N.attribute(spelled, register).collect()}
+    groups = {}
+    for spelling, person in got.items():
+        groups.setdefault(person, set()).add(spelling)
+    assert sorted(map(sorted, groups.values())) == sorted(
+        map(
+            sorted,
+            [
+                {"James Stannaarra", "James Stanaarra", "Stannaarra, J.", "Jim Stannaarra", "James Stanaara"}, {"Bob Ulvendorf", "Robert Ulvendorf"}, {"Li Wu", "Wu, Li"},
+                {"Samuel Hollbrandt"}, {"Samuel A. Hollbrandt"}, {"Samuel T. Hollbrandt", "Samuel T. Hollbradnt"}, {"Patrick Worriciwe"}, {"Patricia Worriciwe"}, {"Ann Mellanby", "Ann Melanby"},
+            ],
+        )
+    )
+
+
+def test_links_that_run_in_a_circle_and_in_a_chain(spark):
+    links = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("x", "c"), *[(f"n{i}", f"n{i + 1}") for i in range(9)]], "spelling string, form_id string")
+    got = {r["spelling"]: r["end"] for r in N._ends(links).collect()}
+    assert got == {**dict.fromkeys("abcx", "a"), **{f"n{i}": "n9" for i in range(9)}}
+
+
 def test_empty(spark, register):
     none = spark.createDataFrame([], "spelling string, frequency long")
     assert N.attribute(none, register).collect() == []
