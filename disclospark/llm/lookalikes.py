@@ -117,6 +117,11 @@ def tables() -> tuple[dict[int, str], str]:
         plain = unicodedata.normalize("NFD", c)
         if n in swap or len(plain) > 1 and ord(plain[0]) in swap or unicodedata.combining(c) or unicodedata.normalize("NFC", c) != c:
             unstable.add(n)
+        # what composes with a character before it, marks of combining class 0 too
+        if len(plain) > 1 and unicodedata.normalize("NFC", c) == c:
+            unstable.add(int(unicodedata.decomposition(c).split()[-1], 16))
+    # the same of Hangul: vowel and tail letters
+    unstable.update(range(0x1161, 0x1176), range(0x11A8, 0x11C3))
     for n in range(0x20):
         if _shows_nothing(chr(n)):
             swap[n] = ""

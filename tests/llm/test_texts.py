@@ -168,3 +168,9 @@ def test_whole_tables(spark):
         df = QUERIES[name](spark, sf)
         assert df.columns == columns
         assert df.count() > 0, name
+
+
+@pytest.mark.parametrize("composed", ["한글 ab", "가나", "ো", "ொ", "ො", "ᬆ", "é"])
+def test_decomposed_text_without_another_unstable_character(composed):
+    form = L.canonicaliser(*L.tables())
+    assert form(unicodedata.normalize("NFD", composed)) == form(composed) == composed
