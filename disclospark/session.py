@@ -19,7 +19,31 @@ def shared_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"file://{tempfile.gettempdir()}/disclospark-checkpoints"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop_path(spark, path)
+    return fs.exists(p)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file, written at once."""
+    fs, p = _hadoop_path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def clear_intermediates(spark: SparkSession) -> None:
+    """Delete every table this application wrote to cut lineage. To be called once no frame built before is needed any more."""
+    fs, p = _hadoop_path(spark, shared_dir(spark).rpartition("/")[0])
+    fs.delete(p, True)
 
 
 def materialize(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
