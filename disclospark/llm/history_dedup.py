@@ -1,40 +1,53 @@
 """Each new batch against everything accepted before.
 
-Content of a trade: who, which asset, which day, which amounts. What must agree exactly (person, day, both ends of the amount, and of the asset every
-number, date, class letter, numeral and short word) is one block hash; the longer words of the asset are winnowed into fingerprints, each
-salted with the block, so only rows of one block can ever share one. A partitioned Bloom filter of the accepted fingerprints
-prescreens the batch's; what passes is looked up in the persistent store; candidates must share fingerprints and agree word by word, a
-typo or two aside. New contents are added to the store and their fingerprints to the filters. History is never fingerprinted again; of the stored
-fingerprints each batch reads only an equi-join's worth. Equal contents of a batch are one row before any fingerprint is made, so hot
-trades cost no more than others.
+Content of a trade: who, which asset, which day, which amounts. The salt hashes what must agree exactly (person, day, both ends of the amount, and every
+word of the asset that holds a digit); the other words of the asset, of any length, are run together and winnowed. Fingerprints of a content are its
+winnowed grams, each salted, and the hash of the whole content. The window grows with the text such that two typos always leave one gram that both
+spellings chose, so the prescreen loses nothing the verification would take.
+
+A batch goes through four steps, its own rows and history alike: (1) partitioned Bloom filters, one part of the fingerprints each, prescreen the batch's
+fingerprints and take them in; a fingerprint that two contents of the batch share is a positive too; (2) positives are looked up in the persistent
+fingerprint store, of which only the parts with positives are read; (3) candidates are verified: an equal content at once, others if they share all grams that
+two typos can spare and agree word by word; (4) new contents and their fingerprints are added to the store. History is never fingerprinted again. Asset names are normalised
+and winnowed once for each distinct text, and equal contents of a batch are one row before any fingerprint is made, so hot trades cost no more than others.
+
+What a content repeats (its root) is the earliest root of all earlier contents that agree with it; it is settled when the content first arrives and holds for
+every later equal content. Recognised spellings stay in the store too, so it doesn't matter how rows are cut into batches.
 
 Cases: rows whose person or asset is blank or that have no real day are neither cases nor originals; an open upper end equals only an open one;
-repeated rows have the first as original; an asset without long words is compared on its block alone; very long asset names are winnowed
-whole; an empty batch changes nothing; further columns don't matter.
+repeated rows have the first as original; an asset without words is compared by its salt alone; very long asset names are winnowed
+whole; rows of one place in the order are settled by their name; an empty batch changes nothing; further columns don't matter.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import wide_trim
-from ..session import materialize, shared_dir
+from ..session import materialize, path_exists, shared_dir, write_text
 from .names import edits
 
-GRAM, WINDOW = 2, 3
-COVERAGE = 0.1
 BLOOM_HASHES = 6
+#: Tables of distinct texts and the positives of a batch are broadcast up to this many rows (each under 300 bytes); more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 # Spellings of legal forms and of contract words that mean the same.
 SAME_WORDS = {
     "corporation": "corp", "incorporated": "inc", "company": "co", "limited": "ltd", "expires": "exp", "expiring": "exp", "expiry": "exp",
     "expiration": "exp", "maturing": "due", "matures": "due", "maturity": "due",
 }
+# Short words that name kinds of contracts and forms; one of them is never a mistyped other one.
+MARKS = frozenset("call put note bond bill etf etn adr ads gdr inc corp co ltd plc llc lp llp".split())
+_NUMERAL = re.compile(r"[ivxlc]+")
 
 
 def with_asset_text(df: DataFrame, asset: str, out: str) -> DataFrame:
@@ -76,68 +89,126 @@ def amount_ends(amount: str) -> tuple[Column, Column]:
     return end(1), F.when(~F.lower(amount).contains("over"), end(-1))
 
 
-def with_content(df: DataFrame, person: str, asset: str, day: str, low: str, high: str) -> DataFrame:
-    """Adds block (long), words (array of the long words) and content (long)."""
-    long_word = r"(?<![^ ])[^ \d]{5,}(?![^ ])"
-    exact = F.regexp_replace("#asset", long_word, "#")
-    return (
-        with_asset_text(df, asset, "#asset")
-        .withColumn("words", F.regexp_extract_all("#asset", F.lit(long_word), F.lit(0)))
-        .withColumn("block", F.xxhash64(F.col(person), F.col(day), F.col(low), F.coalesce(F.col(high), F.lit(-1)), exact))
-        .withColumn("content", F.xxhash64("block", F.array_join("words", " ")))
-        .drop("#asset")
-    )
+# texts and their grams
 
 
-def hash_text(s: str) -> int:
-    h = 0xCBF29CE484222325
-    for b in s.encode():
-        h = ((h ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-    h ^= h >> 32
+def gram_hash(gram: str) -> int:
+    h = xxhash.xxh3_64_intdigest(gram)
     return h - (1 << 64) if h >> 63 else h
 
 
+def winnow(hashes: list[int], window: int) -> set[int]:
+    """Of every `window` neighbouring hashes the smallest. A wider window chooses among what a narrower one does, so both meet in a shared run."""
+    if window <= 1 or len(hashes) <= window:
+        return set(hashes) if window <= 1 else {min(hashes)}
+    return {min(hashes[i : i + window]) for i in range(len(hashes) - window + 1)}
+
+
+def text_grams(text: str) -> list[int]:
+    """Winnowed grams of the words of a text, run together.
+
+    An edit spoils at most four of the `n` three-letter grams, so two leave a clean run of (n - 8) / 3 in the longer text: that is the window. Texts up to
+    twelve letters have all their two-letter grams as well, of which an edit spoils three at most; texts about as long as that have both
+    kinds and so meet shorter and longer ones.
+    """
+    run = text.replace(" ", "")
+    if not run:
+        return []
+    padded = f"^{run}$"
+    out: set[int] = set()
+    if len(run) <= 12:
+        out |= {gram_hash(padded[i : i + 2]) for i in range(len(padded) - 1)}
+    if len(run) >= 9:
+        out |= winnow([gram_hash(padded[i : i + 3]) for i in range(len(run))], (len(run) - 8) // 3)
+    return sorted(out)
+
+
 @F.pandas_udf(T.ArrayType(T.LongType()))
-def winnowed(words: pd.Series) -> pd.Series:
-    seen: dict[str, int] = {}
-
-    def grams(text: str) -> list[int]:
-        # of every WINDOW neighbouring hashes the smallest: each shared run of GRAM + WINDOW - 1 letters leaves a common one
-        if len(text) <= GRAM:
-            return [hash_text(text)]
-        out = []
-        for i in range(len(text) - GRAM + 1):
-            g = text[i : i + GRAM]
-            h = seen.get(g)
-            if h is None:
-                h = seen[g] = hash_text(g)
-            out.append(h)
-        if len(out) <= WINDOW:
-            return [min(out)]
-        return sorted({min(out[i : i + WINDOW]) for i in range(len(out) - WINDOW + 1)})
-
-    return words.map(lambda ws: grams("".join(ws)))
+def winnowed(text: pd.Series) -> pd.Series:
+    return text.map(text_grams)
+
+
+def coverage_holds(a: str, b: str) -> bool:
+    """True if the texts share all three-letter grams that two typos can spare (none, up to eight letters)."""
+    x, y = (Counter(p[i : i + 3] for i in range(len(p) - 2)) for p in (f"^{a}$", f"^{b}$"))
+    return sum((x & y).values()) >= max(len(a), len(b)) - 8
+
+
+def _word_gap(p: str, q: str) -> int | None:
+    """Typos between two words: one, or two if both have seven letters; none in words of one or two letters, numerals and marks."""
+    if p == q:
+        return 0
+    short, long = sorted((len(p), len(q)))
+    if long < 3 or (p in MARKS and q in MARKS) or (_NUMERAL.fullmatch(p) and _NUMERAL.fullmatch(q)):
+        return None
+    most = 2 if short >= 7 else 1
+    d = edits(p, q, most)
+    return d if d <= most else None
+
+
+def same_text(a: str, b: str) -> bool:
+    """Coverage, then word by word: at most two typos in all, one in texts under eight letters. A blank more or less doesn't matter."""
+    p, q = a.replace(" ", ""), b.replace(" ", "")
+    if p == q:
+        return True
+    if abs(len(p) - len(q)) > 2 or not coverage_holds(p, q):
+        return False
+    x, y = a.split(" "), b.split(" ")
+    if len(x) != len(y):
+        return False
+    total, most = 0, 2 if min(len(p), len(q)) >= 8 else 1
+    for s, t in zip(x, y, strict=True):
+        d = _word_gap(s, t)
+        if d is None or (total := total + d) > most:
+            return False
+    return True
 
 
 @F.pandas_udf(T.BooleanType())
-def same_words(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Word by word, one typo in a word (two in one of eight letters or more), two in all."""
+def agree(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([same_text(x, y) for x, y in zip(a, b, strict=True)], dtype="bool")
 
-    def same(x: list[str], y: list[str]) -> bool:
-        if "".join(x) == "".join(y):
-            return True
-        if len(x) != len(y):
-            return False
-        total = 0
-        for p, q in zip(x, y, strict=True):
-            if p != q:
-                d = edits(p, q, 2)
-                if d > (2 if min(len(p), len(q)) >= 7 else 1):
-                    return False
-                total += d
-        return total <= 2
 
-    return pd.Series([same(list(x), list(y)) for x, y in zip(a, b, strict=True)], dtype="bool")
+def asset_texts(names: DataFrame) -> DataFrame:
+    """(asset_name, exact, text_id, text, grams) of each distinct name: `exact` are its words with a digit, `text` its other words."""
+    with_digit = r"(?<![^ ])[^ ]*\d[^ ]*(?![^ ])"
+    split = (
+        with_asset_text(names.select("asset_name").distinct(), "asset_name", "#asset")
+        .withColumn("exact", F.array_join(F.regexp_extract_all("#asset", F.lit(with_digit), F.lit(0)), " "))
+        .withColumn("text", F.trim(F.regexp_replace(F.regexp_replace("#asset", with_digit, " "), " {2,}", " ")))
+    )
+    return materialize(split.withColumn("grams", winnowed("text")).select("asset_name", "exact", F.xxhash64("text").alias("text_id"), "text", "grams"))
+
+
+def if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """The frame, to be broadcast if it has few rows; its size is counted."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def with_content(df: DataFrame, texts: DataFrame, person: str, day: str, low: str, high: str) -> DataFrame:
+    """Joins `texts` by asset_name and adds salt, text_id and content (long)."""
+    named = df.join(if_small(texts.select("asset_name", "exact", "text_id")), "asset_name")
+    return (
+        named.withColumn("salt", F.xxhash64(F.col(person), F.col(day), F.col(low), F.coalesce(F.col(high), F.lit(-1)), "exact"))
+        .withColumn("content", F.xxhash64("salt", "text_id"))
+        .drop("exact")
+    )
+
+
+def prepare(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Contents of all batches with their fingerprints, written by batch: batch, content, text_id, seq, rows, fps.
+
+    `rows`: batch, salt, text_id, content, seq (long, order in the batch). Equal contents of a batch are aggregated on numbers alone, map-side
+    first, before anything is fingerprinted. `rows` counts them.
+    """
+    contents = rows.groupBy("batch", "salt", "text_id", "content").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("rows"))
+    grams = texts.groupBy("text_id").agg(F.first("grams").alias("grams"))
+    salted = F.transform(F.col("grams"), lambda g: F.xxhash64("salt", g))
+    joined = contents.join(if_small(grams), "text_id").withColumn("fps", F.array_append(salted, F.col("content")))
+    return materialize(joined.select("batch", "content", "text_id", "seq", "rows", "fps"), ("batch",))
+
+
+# filters
 
 
 def _bits(fp: np.ndarray, m: int) -> np.ndarray:
@@ -148,146 +219,174 @@ def _bits(fp: np.ndarray, m: int) -> np.ndarray:
     return (((a[:, None] + i * (b >> np.uint64(18))[:, None]) & np.uint64(0xFFFFFFFFFFFF)) % np.uint64(m)).astype(np.int64)
 
 
-def _flat(lists: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """All fingerprints in one array, and the row each belongs to."""
-    sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-    flat = np.concatenate([np.asarray(x, np.int64) for x in lists]) if len(lists) else np.zeros(0, np.int64)
-    return flat, np.repeat(np.arange(len(lists)), sizes)
-
-
 def _roll(m: int):  # noqa: ANN202
-    """One filter with its new contents: the filter brought up to date, and the batch's contents of which it may hold a fingerprint."""
+    """One filter with a batch's fingerprints: which of them it may hold or two contents share; then it takes all in."""
 
     def run(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
-        is_filter = known["bits"].notna()
-        filters = known.loc[is_filter, "bits"]
+        filters = known["bits"]
         bits = np.unpackbits(np.frombuffer(filters.iloc[0], np.uint8), count=m).astype(bool) if len(filters) else np.zeros(m, bool)
-        added, _ = _flat(known.loc[~is_filter, "fps"])
-        for i in range(0, len(added), 1 << 16):  # a slice at a time: memory stays that of the filter
-            bits[_bits(added[i : i + (1 << 16)], m).ravel()] = True
-        fps, row = _flat(new["fps"])
-        hit = np.zeros(len(new), bool)
+        fps, content = new["fp"].to_numpy(np.int64), new["content"].to_numpy(np.int64)
+        _, where, times = np.unique(fps, return_inverse=True, return_counts=True)
+        hit = times[where] > 1
+        for i in range(0, len(fps), 1 << 16):  # a slice at a time: memory stays that of the filter
+            hit[i : i + (1 << 16)] |= bits[_bits(fps[i : i + (1 << 16)], m)].all(axis=1)
         for i in range(0, len(fps), 1 << 16):
-            passed = bits[_bits(fps[i : i + (1 << 16)], m)].all(axis=1)
-            hit[row[i : i + (1 << 16)][passed]] = True
-        content = pd.array([None, *new.loc[hit, "content"].tolist()], dtype="Int64")  # floats would lose digits
-        return pd.DataFrame({"part": np.int32(key[0]), "bits": [np.packbits(bits).tobytes(), *[None] * int(hit.sum())], "content": content})
+            bits[_bits(fps[i : i + (1 << 16)], m).ravel()] = True
+        none = [None] * int(hit.sum())
+        longs = lambda x: pd.array([None, *x[hit].tolist()], dtype="Int64")  # noqa: E731 floats would lose digits
+        return pd.DataFrame({"part": np.int32(key[0]), "bits": [np.packbits(bits).tobytes(), *none], "fp": longs(fps), "content": longs(content)})
 
     return run
 
 
-def arrival() -> Column:
-    """What sorts as the order of arrival: batch, place in it, name."""
-    return F.struct("batch", "seq", "original")
-
-
-def prepare(rows: DataFrame) -> DataFrame:
-    """Contents of all batches, fingerprinted once and written by batch: batch, block, content, words, fps, seq, original, rows, crowd.
+class HistoryStore:
+    """Contents with what they repeat, their fingerprints by part, and the Bloom filters over these, in a shared folder.
 
-    `rows`: batch, block, content, words, seq (long, order in the batch), original (the row's own name). Equal contents of a
-    batch are aggregated, map-side first, before anything is fingerprinted. `rows` counts them; `crowd` is the number of contents of a block in
-    its batch.
+    There are `parts` filters of `bits` bits; a fingerprint's part is its hash. That is a capacity, not a limit: beyond about bits / 10
+    fingerprints a filter lets more through, which costs look-ups, never rows. A step counts once its line in the log stands; opening the folder again,
+    by another process too, goes on behind the last one.
     """
-    first = F.min(F.struct("seq", "original")).alias("f")
-    contents = rows.groupBy("batch", "block", "content").agg(first, F.first("words").alias("words"), F.count(F.lit(1)).alias("rows"))
-    crowd = F.count(F.lit(1)).over(W.partitionBy("batch", "block")).alias("crowd")
-    counted = contents.select("batch", "block", "content", "words", "f.seq", "f.original", "rows", crowd)
-    salted = F.transform(F.col("grams"), lambda g: F.xxhash64("block", g))
-    return materialize(counted.withColumn("grams", winnowed("words")).withColumn("fps", salted).drop("grams"), ("batch",))
-
-
-def _others(df: DataFrame) -> DataFrame:
-    return df.select("block", F.col("words").alias("other_words"), F.col("fps").alias("other_fps"), arrival().alias("other_at"))
-
 
-def _agreeing(pairs: DataFrame) -> DataFrame:
-    """Pairs that share enough fingerprints and agree word by word."""
-    shared = F.size(F.array_intersect("fps", "other_fps"))
-    enough = shared >= F.greatest(F.lit(1.0), COVERAGE * F.least(F.size("fps"), F.size("other_fps")))
-    return pairs.filter(enough).filter(same_words("words", "other_words"))
+    DECIDED = "batch int, content long, text_id long, seq long, rows long, root struct<batch:int,seq:long,content:long>, fresh boolean"
+    PRINTS = "part int, fp long, content long"
+    ROLLED = "part int, bits binary, fp long, content long"
 
+    def __init__(self, spark: SparkSession, path: str | None = None, parts: int = 16, bits: int = 1 << 22) -> None:
+        self.spark, self.path, self.parts, self.bits = spark, path or shared_dir(spark), parts, bits
+        self.steps: list[int] = []
+        if path_exists(spark, f"{self.path}/log"):
+            log = spark.read.schema("step int, parts int, bits int").json(f"{self.path}/log").orderBy("step").collect()  # a line a batch
+            self.steps = [r["step"] for r in log]
+            self.parts, self.bits = log[-1]["parts"], log[-1]["bits"]
 
-def repeats_inside(contents: DataFrame) -> DataFrame:
-    """(batch, content, other_at): of each content of a batch the first earlier one of the same batch that agrees. Made once for all batches."""
-    crowded = contents.filter("crowd > 1")
-    mine = crowded.select("batch", "block", "content", "words", "fps", arrival().alias("at"))
-    pairs = mine.join(_others(crowded).withColumn("batch", F.col("other_at.batch")), ["batch", "block"]).filter("other_at < at")
-    return materialize(_agreeing(pairs).groupBy("batch", "content").agg(F.min("other_at").alias("other_at")))
+    def _at(self, what: str, step: int) -> str:
+        return f"{self.path}/{what}/step={step}"
 
+    def _next(self) -> int:
+        return self.steps[-1] + 1 if self.steps else 0
 
-class HistoryStore:
-    """Accepted contents with their fingerprints, and the Bloom filters over these, in a shared folder.
+    def _log(self, step: int) -> None:
+        write_text(self.spark, f"{self.path}/log/{step}.json", json.dumps({"step": step, "parts": self.parts, "bits": self.bits}))
+        self.steps.append(step)
 
-    There are `parts` filters of `bits` bits, a block's fingerprints all in one. That is a capacity, not a limit: beyond about bits / 10
-    fingerprints a filter lets more through, which costs look-ups, never rows.
-    """
+    def decided(self) -> DataFrame:
+        """All batches' contents: batch, content, seq, rows and root, the (batch, seq, content) they repeat; their own if they are new."""
+        return self.spark.read.schema(self.DECIDED).parquet(*[self._at("contents", s) for s in self.steps])
 
-    COLUMNS = ("batch", "block", "content", "words", "fps", "seq", "original", "rows")
-    DECIDED = "batch int, block long, content long, words array<string>, fps array<long>, seq long, original string, rows long, known_as string"
-    #: Screened contents of a batch are broadcast up to this many (each under 1 kB); more are joined by a shuffle.
-    BROADCAST_ROWS = 100_000
+    def _prints(self, parts: list[int]) -> DataFrame:
+        """Stored fingerprints of some parts. Files are sorted by part, so row groups of other parts are skipped."""
+        return self.spark.read.schema(self.PRINTS).parquet(*[self._at("prints", s) for s in self.steps]).filter(F.col("part").isin(parts))
 
-    def __init__(self, spark: SparkSession, path: str | None = None, parts: int = 16, bits: int = 1 << 22) -> None:
-        self.spark, self.path, self.parts, self.bits = spark, path or shared_dir(spark), parts, bits
-        self.steps: list[str] = []
-        self.filters: DataFrame | None = None
-        self.passed = 0
-
-    def accepted(self) -> DataFrame:
-        return self.spark.read.schema(self.DECIDED).parquet(*self.steps).filter("known_as is null")
+    def _exploded(self, contents: DataFrame) -> DataFrame:
+        return contents.select("content", F.explode("fps").alias("fp")).withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(self.parts)).cast("int"))
 
-    def decided(self) -> DataFrame:
-        return self.spark.read.schema(self.DECIDED).parquet(*self.steps)
-
-    def _part(self) -> Column:
-        return F.pmod("block", F.lit(self.parts)).cast("int").alias("part")
-
-    def _append(self, decided: DataFrame) -> DataFrame:
-        at = f"{self.path}/{len(self.steps)}/contents"
-        decided.write.parquet(at)
-        self.steps.append(at)
-        return self.spark.read.schema(self.DECIDED).parquet(at)
-
-    def _screen(self, contents: DataFrame) -> DataFrame:
-        """Contents of which the filters may hold a fingerprint. What the last step accepted enters the filters on the way."""
-        last = self.spark.read.schema(self.DECIDED).parquet(self.steps[-1]).filter("known_as is null")
-        known = last.select(self._part(), F.lit(None).cast("binary").alias("bits"), "fps")
-        if self.filters is not None:
-            known = self.filters.select("part", "bits", F.lit(None).cast("array<long>").alias("fps")).unionByName(known)
-        at = f"{self.path}/{len(self.steps)}/filters"
-        new = contents.select(self._part(), "fps", "content")
-        rolled = known.groupBy("part").cogroup(new.groupBy("part")).applyInPandas(_roll(self.bits), "part int, bits binary, content long")
+    def _screen(self, contents: DataFrame, step: int) -> tuple[DataFrame, list[int], int]:
+        """Positives (part, fp, content) of a batch, the parts that have some, and their number. The filters take the batch in on the way."""
+        known = self.spark.read.schema(self.ROLLED).parquet(self._at("filters", self.steps[-1])) if self.steps else self.spark.createDataFrame([], self.ROLLED)
+        known = known.filter("bits is not null").select("part", "bits")
         seen = Observation()
-        rolled.observe(seen, F.count("content").alias("n")).write.parquet(at)
-        self.passed = int(seen.get["n"] or 0)
-        out = self.spark.read.schema("part int, bits binary, content long").parquet(at)
-        self.filters = out.filter("bits is not null")
-        return out.filter("content is not null").select("content").distinct()
+        rolled = known.groupBy("part").cogroup(self._exploded(contents).groupBy("part")).applyInPandas(_roll(self.bits), self.ROLLED)
+        rolled.observe(seen, F.count("content").alias("n"), F.collect_set(F.when(F.col("fp").isNotNull(), F.col("part"))).alias("parts")).write.mode("overwrite").parquet(self._at("filters", step))
+        positives = self.spark.read.schema(self.ROLLED).parquet(self._at("filters", step)).filter("fp is not null").drop("bits")
+        return positives, list(seen.get["parts"] or []), int(seen.get["n"] or 0)
+
+    def _append(self, contents: DataFrame, decided: DataFrame, step: int) -> DataFrame:
+        """Writes a batch's contents and the fingerprints of the new ones, sorted, by part."""
+        at = self._at("contents", step)
+        decided.write.mode("overwrite").parquet(at)
+        decided = self.spark.read.schema(self.DECIDED).parquet(at)
+        fresh = contents.join(decided.filter("fresh").select("content"), "content", "left_semi")
+        prints = self._exploded(fresh).repartition("part").sortWithinPartitions("part", "fp")
+        prints.select("part", "fp", "content").write.mode("overwrite").parquet(self._at("prints", step))
+        self._log(step)
+        return decided
+
+    @staticmethod
+    def _own_root() -> Column:
+        return F.struct(F.col("batch").cast("int").alias("batch"), "seq", "content").alias("root")
 
     def seed(self, contents: DataFrame) -> None:
         """Fill the empty store with contents that are accepted as they stand."""
-        self._append(contents.select(*self.COLUMNS, F.lit(None).cast("string").alias("known_as")))
-
-    def check(self, contents: DataFrame, inside: DataFrame) -> DataFrame:
-        """The batch's contents with `known_as`: the original they repeat, null for new ones, which are accepted.
-
-        `inside`: the batch's part of repeats_inside().
-        """
-        first = inside.select("content", "other_at")
+        step = self._next()
+        self._screen(contents, step)
+        self._append(contents, contents.select(F.col("batch").cast("int").alias("batch"), "content", "text_id", "seq", "rows", self._own_root(), F.lit(True).alias("fresh")), step)
+
+    def check(self, contents: DataFrame, texts: DataFrame) -> DataFrame:
+        """The batch's contents, decided. `texts`: text_id, text, one row an id, of all contents so far."""
+        step = self._next()
+        positives, parts, n = self._screen(contents, step)
+        base = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text_id", "seq", "rows", self._own_root())
+        if not n:
+            return self._append(contents, base.withColumn("fresh", F.lit(True)), step)
+        hits = F.broadcast(positives) if n <= BROADCAST_ROWS else positives
+        mine = contents.select("content", "text_id", "seq")
+        no_root = F.lit(None).cast("struct<batch:int,seq:long,content:long>")
+        before = (F.col("other_seq") < F.col("seq")) | (F.col("other_seq") == F.col("seq")) & (F.col("other") < F.col("content"))
+        tried = (
+            hits.join(positives.select("part", "fp", F.col("content").alias("other")), ["part", "fp"]).filter("content != other").select("content", "other").distinct()
+            .join(mine, "content").join(mine.select(F.col("content").alias("other"), F.col("text_id").alias("other_text"), F.col("seq").alias("other_seq")), "other")
+            .filter(before).select("content", "other", "text_id", "other_text", no_root.alias("root"))
+        )
         if self.steps:
-            passed = self._screen(contents)
-            screened = contents.join(passed, "content", "left_semi").select("block", "content", "words", "fps")
-            if self.passed <= self.BROADCAST_ROWS:
-                screened = F.broadcast(screened)
-            pairs = _others(self.accepted()).join(screened, "block")
-            first = _agreeing(pairs).select("content", "other_at").unionByName(first)
-        first = first.groupBy("content").agg(F.min("other_at").alias("m")).select("content", F.col("m.original").alias("known_as"))
-        return self._append(contents.join(first, "content", "left").select(*self.COLUMNS, "known_as"))
+            # candidates of the store, with what they repeat themselves
+            there = self._prints(parts).select("part", "fp", F.col("content").alias("other")).join(hits, ["part", "fp"]).select("content", "other").distinct()
+            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text_id").alias("other_text"), "root")
+            tried = tried.unionByName(there.join(then, "other").join(mine.drop("seq"), "content").select("content", "other", "text_id", "other_text", "root"))
+        texts_of = lambda c, t: texts.select(F.col("text_id").alias(c), F.col("text").alias(t))
+        linked = Observation()
+        alike = tried.join(texts_of("text_id", "a"), "text_id").join(texts_of("other_text", "b"), "other_text").filter(agree("a", "b")).select("content", "other", "root")
+        alike = materialize(alike.observe(linked, F.count_if(F.col("root").isNull()).alias("n")))
+        # an equal content of the store settles it
+        same = F.min(F.when(F.col("content") == F.col("other"), F.col("root"))).alias("same")
+        roots = alike.filter("root is not null").groupBy("content").agg(same, F.min("root").alias("least"))
+        settled = base.join(roots, "content", "left").select(
+            "batch", "content", "text_id", "seq", "rows", F.coalesce("same", "least", "root").alias("root"), F.col("same").isNull().alias("fresh")
+        )
+        inside = int(linked.get["n"] or 0)
+        if inside:
+            settled = _settle(settled, alike.filter("root is null").select("content", "other"), inside)
+        return self._append(contents, settled, step)
+
+
+def _carry(_: tuple, roots: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
+    """Roots carried along links until none moves, all in one task."""
+    at = {c: (r["batch"], r["seq"], r["content"]) for c, r in zip(roots["content"], roots["root"], strict=True)}
+    fixed = set(roots.loc[~roots["fresh"], "content"])
+    links = [(c, o) for c, o in zip(edges["content"], edges["other"], strict=True) if c not in fixed]
+    moved = True
+    while moved:
+        moved = False
+        for c, o in links:
+            if at[o] < at[c]:
+                at[c], moved = at[o], True
+    return pd.DataFrame([(c, *r) for c, r in at.items()], columns=["content", "b", "s", "c"])
+
+
+def _settle(decided: DataFrame, edges: DataFrame, n: int) -> DataFrame:
+    """Roots carried along the `n` links (content, other) inside a batch. Only linked contents take part: few of them in one task, more by joins, pass after pass."""
+    ends = edges.select("content").union(edges.select("other")).distinct()
+    linked = decided.select("content", "root", "fresh").join(ends, "content", "left_semi")
+    if n <= BROADCAST_ROWS:
+        one = lambda df: df.withColumn("all", F.lit(1)).groupBy("all")
+        carried = one(linked).cogroup(one(edges)).applyInPandas(_carry, "content long, b int, s long, c long")
+        carried = carried.select("content", F.struct(F.col("b").alias("batch"), F.col("s").alias("seq"), F.col("c").alias("content")).alias("r"))
+    else:
+        edges = edges.join(linked.filter("fresh").select("content"), "content", "left_semi")
+        carried = materialize(linked.select("content", F.col("root").alias("r"), F.lit(True).alias("moved")))
+        while not carried.filter("moved").isEmpty():
+            last = carried.select("content", F.col("r").alias("last"))
+            theirs = edges.join(last.withColumnRenamed("content", "other"), "other").groupBy("content").agg(F.min("last").alias("theirs"))
+            carried = materialize(last.join(theirs, "content", "left").select("content", F.least("last", "theirs").alias("r"), (F.col("theirs") < F.col("last")).alias("moved")))
+        carried = carried.select("content", "r")
+    return decided.join(carried, "content", "left").withColumn("root", F.coalesce("r", "root")).drop("r")
 
 
 def repeated_rows(rows: DataFrame, decided: DataFrame) -> DataFrame:
-    """(row_id, original) of rows that repeat something. `rows`: row_id, batch, content, original (the row's own name)."""
+    """(row_id, original) of incoming rows that repeat something. `rows`: row_id (null for accepted ones), batch, content, seq, original (the row's own name)."""
     # contents that are new and have one row repeat nothing
-    firsts = decided.filter("known_as is not null or rows > 1").select("batch", "content", "known_as", F.col("original").alias("first_original"))
-    known = F.coalesce("known_as", F.when(F.col("original") != F.col("first_original"), F.col("first_original")))
-    return rows.select("row_id", "batch", "content", "original").join(firsts, ["batch", "content"]).select("row_id", known.alias("original")).filter("original is not null")
+    own = (F.col("root.batch") == F.col("batch")) & (F.col("root.content") == F.col("content"))
+    cases = decided.filter(~own | (F.col("rows") > 1)).select("batch", "content", "root")
+    places = cases.select("root").distinct().select("root", F.col("root.batch").alias("batch"), F.col("root.seq").alias("seq"), F.col("root.content").alias("content"))
+    named = rows.join(places, ["batch", "seq", "content"]).groupBy("root").agg(F.min("original").alias("first"))
+    known = rows.filter("row_id is not null").select("row_id", "batch", "content", F.col("original").alias("own")).join(cases, ["batch", "content"]).join(named, "root")
+    return known.filter(F.col("own") != F.col("first")).select("row_id", F.col("first").alias("original"))

@@ -10,7 +10,7 @@ from ..functions.text import is_blank
 from ..operators.timestamps import local_day, normalize_times
 from ..session import materialize, read_table
 from .canonical import map_fields
-from .history_dedup import HistoryStore, amount_ends, prepare, repeated_rows, repeats_inside, with_content
+from .history_dedup import HistoryStore, amount_ends, asset_texts, if_small, prepare, repeated_rows, with_content
 from .lookalikes import canonical_texts, same_looking
 from .mixing import mix
 from .names import attribute, member_spelling
@@ -19,12 +19,13 @@ from .tokenizer import count_tokens, encode_texts
 
 #: The batch number that stands for what was accepted before the first batch.
 ACCEPTED = -1
-#: Resolved spellings are broadcast up to this many (each under 200 bytes); more are joined by a shuffle.
-BROADCAST_SPELLINGS = 200_000
 
 
-def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accepted and incoming trades: batch, row_id (null for accepted ones), content, block, words, seq, original."""
+def trades(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Accepted and incoming trades (batch, row_id: null for accepted ones, content, salt, text_id, seq, original), and the texts of their assets.
+
+    Names, assets and forms of days are few beside the rows: each distinct one is read once.
+    """
     register = read_table(spark, sf_dir, "filers")
     old = read_table(spark, sf_dir, "transactions").select("id", "politician", "transaction_date", "asset_name", "amount_min", "amount_max", "created_at")
     raw = read_table(spark, sf_dir, "raw_transactions").select("row_id", "batch_no", "politician", "transaction_date", "asset_name", "amount", "office_tz")
@@ -33,9 +34,10 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("spelling").agg(F.count(F.lit(1)).alias("frequency"))
     )
     person = materialize(attribute(materialize(spellings), register).select(F.col("spelling").alias("politician"), "person"))
+    named = lambda df: df.filter(~is_blank("politician") & ~is_blank("asset_name"))
+    texts = asset_texts(named(raw).select("asset_name").unionByName(named(old).select("asset_name")))
     lo, hi = amount_ends("amount")
-    usable = raw.filter(~is_blank("politician") & ~is_blank("asset_name") & ~is_blank("transaction_date"))
-    timed = normalize_times(usable, "transaction_date", "office_tz")
+    timed = normalize_times(named(raw).filter(~is_blank("transaction_date")), "transaction_date", "office_tz")
     incoming = (
         timed.withColumn("day", local_day(F.col("utc"), calendar_date("transaction_date"), F.col("office_tz")))
         .filter("day is not null")
@@ -45,32 +47,30 @@ def trades(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("row_id").cast("string").alias("original"),
         )
     )
-    accepted = old.filter(~is_blank("politician") & ~is_blank("asset_name") & F.col("transaction_date").isNotNull()).select(
+    accepted = named(old).filter(F.col("transaction_date").isNotNull()).select(
         F.lit(ACCEPTED).alias("batch"), "politician", "asset_name", F.col("transaction_date").cast("date").alias("day"), F.col("amount_min").alias("lo"), F.col("amount_max").alias("hi"),
         F.coalesce(F.unix_micros(F.col("created_at").cast("timestamp")), F.lit(0)).alias("seq"), F.col("id").alias("original"),
     )
     both = accepted.unionByName(incoming, allowMissingColumns=True)
-    if person.count() <= BROADCAST_SPELLINGS:
-        person = F.broadcast(person)
-    named = both.join(person, "politician", "left").withColumn("person", F.coalesce("person", F.lower("politician")))
-    return materialize(with_content(named, "person", "asset_name", "day", "lo", "hi").select("batch", "row_id", "content", "block", "words", "seq", "original"))
+    owned = both.join(if_small(person), "politician", "left").withColumn("person", F.coalesce("person", F.lower("politician")))
+    rows = with_content(owned, texts, "person", "day", "lo", "hi").select("batch", "row_id", "content", "salt", "text_id", "seq", "original")
+    return materialize(rows), texts
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch after batch against the accepted trades and the batches before."""
-    rows = trades(spark, sf_dir)
-    contents = prepare(rows)
+    rows, texts = trades(spark, sf_dir)
+    contents = prepare(rows, texts)
     # a catalogue of deliveries: one small row a batch
-    sizes = {r["batch"]: r["n"] for r in contents.groupBy("batch").agg(F.count(F.lit(1)).alias("n")).collect()}
-    inside = repeats_inside(contents)
-    store = HistoryStore(spark, parts=max(4, -(-sum(sizes.values()) * 100 // (1 << 22))))
+    sizes = {r["batch"]: r["n"] for r in contents.groupBy("batch").agg(F.sum(F.size("fps")).alias("n")).collect()}
+    store = HistoryStore(spark, parts=max(4, -(-sum(sizes.values()) * 10 // (1 << 22))))
+    names = if_small(materialize(texts.groupBy("text_id").agg(F.first("text").alias("text"))))
     for no in sorted(sizes):
         batch = contents.filter(F.col("batch") == no)
-        store.seed(batch) if no == ACCEPTED else store.check(batch, inside.filter(F.col("batch") == no))
+        store.seed(batch) if no == ACCEPTED else store.check(batch, names)
     if not sizes:
         return spark.createDataFrame([], "row_id long, original string")
-    incoming = F.col("batch") != ACCEPTED
-    return repeated_rows(rows.filter(incoming), store.decided().filter(incoming))
+    return repeated_rows(rows, store.decided().filter(F.col("batch") != ACCEPTED))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
