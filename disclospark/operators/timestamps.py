@@ -1,20 +1,25 @@
 """Clock times of many forms and zones to one UTC time.
 
 A value is read in one pass of one pattern; all of it stays in codegen. The zone is, in this order, the one the text names, the one
-the row names, or the one estimated for the row's group: of the candidate zones, the one under which the fewest local times lie after
-the time of ingestion, and among those the one with the smallest summed lag (offset history, daylight saving included, is that of the
-zone). Estimation aggregates to (group, candidate) before any shuffle.
+the row names, or the one estimated for the row's group and month. Estimation aligns the local times of a group with bounds on the true time: the
+time of ingestion, which comes after it, or the place in a sequence, where rows of known time before and after it bound it. Each candidate zone (its offset history,
+daylight saving included) costs a month so much for each bound it violates and for its distance from the bounds; the cheapest history of
+zones over the months is chosen, each change of zone at a price. Costs are aggregated to (group, month, candidate) before any shuffle, so only numbers
+as many as months reach the choice.
 
 Cases: null, empty, blank and unknown text, impossible days, hours, minutes, seconds, and dates without a clock time give null. A local
 time that occurs twice means its first pass; one that daylight saving skips is read with the offset before the jump. Numeric dates are
-month first. Fractions beyond microseconds are cut. Session time zone has no influence.
+month first. Fractions beyond microseconds are cut. A row without any bound takes the zone its group has most. Session time zone has no influence.
 """
 
 from __future__ import annotations
 
 import zoneinfo
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col, wide_trim
@@ -34,6 +39,9 @@ ABBREVIATIONS = {
 }
 #: Estimated zones are broadcast up to this many groups (a name and a zone each); more are joined by a shuffle.
 BROADCAST_GROUPS = 100_000
+#: What a violated bound costs, and the most that a distance does, in hours; what a change of zone costs.
+VIOLATION, SWITCH = 24.0, 48.0
+ROWS_PER_STEP = 1000
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 _DATE = (
@@ -70,8 +78,8 @@ def _tidy(c: Column) -> Column:
 
 
 def has_clock_time(c: Column | str) -> Column:
-    """Cheap first look: a colon, a long run of digits or a compact time. Plain dates end here."""
-    return as_col(c).rlike(r":|\d{9}|\dT\d{6}")
+    """Cheap first look at what every value the grammar reads has: a colon, six digits behind something else, or nine in a row. Plain dates end here."""
+    return as_col(c).rlike(r":|\D\d{6}|\d{9}")
 
 
 def parse_clock(df: DataFrame, column: str) -> DataFrame:
@@ -121,6 +129,10 @@ def parse_clock(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def month_no(c: Column) -> Column:
+    return (F.year(c) * 12 + F.month(c)).cast("int")
+
+
 def to_utc(local: Column, zone: Column) -> Column:
     return F.convert_timezone(zone, F.lit("UTC"), local)
 
@@ -132,36 +144,85 @@ def utc_text(c: Column) -> Column:
     return F.concat(F.substring(t, 1, 10), F.lit("T"), F.substring(t, 12, 8), F.lit("."), fraction, F.lit("Z"))
 
 
-def estimate_zones(local: DataFrame, group: str, ingested: str, candidates: list[str]) -> DataFrame:
-    """(group, estimated_zone) for rows with `local` and an ingestion time in UTC: fewest violations, then smallest lag, then name."""
-    tried = local.filter(F.col("local").isNotNull() & F.col(ingested).isNotNull()).select(
-        group, "local", F.col(ingested).cast("timestamp_ntz").alias("seen"), F.explode(F.array(*[F.lit(z) for z in candidates])).alias("estimated_zone")
+def utc_bound(df: DataFrame, column: str) -> Column:
+    """A point in time as timestamp_ntz in UTC, whatever the session's zone; a column without zone is UTC already."""
+    if dict(df.dtypes)[column] == "timestamp":
+        return F.timestamp_add("MICROSECOND", F.unix_micros(F.col(column)), F.expr(EPOCH_START))
+    return F.col(column).cast("timestamp_ntz")
+
+
+def sequence_bounds(df: DataFrame, sequence: str, known: str, rows_per_step: int = 1000) -> DataFrame:
+    """(step, seen_from, seen_to): the latest known time in the steps of a sequence before one, and the earliest in those behind it.
+
+    A step is `rows_per_step` places wide. Only a row a step is left for the running bounds, which are taken in blocks of a thousand steps and then over the blocks.
+    """
+    step = F.floor(F.col(sequence) / rows_per_step).cast("bigint")
+    ends = materialize(df.groupBy(step.alias("step")).agg(F.min(known).alias("lo"), F.max(known).alias("hi")).withColumn("block", F.floor(F.col("step") / 1000)))
+    blocks = ends.groupBy("block").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    w = lambda key, before: (W.partitionBy(*key).orderBy("step" if key[0] == "block" else "block")).rowsBetween(*((W.unboundedPreceding, -1) if before else (1, W.unboundedFollowing)))
+    one = blocks.withColumn("all", F.lit(1))  # a row a million places
+    over = one.select("block", F.max("hi").over(w(("all",), True)).alias("b_from"), F.min("lo").over(w(("all",), False)).alias("b_to"))
+    inner = ends.select("step", "block", F.max("hi").over(w(("block",), True)).alias("i_from"), F.min("lo").over(w(("block",), False)).alias("i_to"))
+    return inner.join(over, "block").select("step", F.greatest("i_from", "b_from").alias("seen_from"), F.least("i_to", "b_to").alias("seen_to"))
+
+
+def estimate_zones(local: DataFrame, group: str, candidates: list[str]) -> DataFrame:
+    """(group, zones, usual) from rows with `local` and bounds seen_from, seen_to (either may be null): the zone of each month, and the cheapest over all."""
+    tried = local.filter(F.col("local").isNotNull() & (F.col("seen_from").isNotNull() | F.col("seen_to").isNotNull())).select(
+        group, month_no(F.col("local")).alias("month"), "local", "seen_from", "seen_to", F.explode(F.array(*[F.lit(z) for z in candidates])).alias("zone")
     )
-    lag = F.timestamp_diff("SECOND", to_utc(F.col("local"), F.col("estimated_zone")), F.col("seen"))
-    scored = tried.groupBy(group, "estimated_zone").agg(F.count_if(lag < 0).alias("bad"), F.sum(F.abs(lag)).alias("lag"))
-    best = F.min_by("estimated_zone", F.struct("bad", "lag", "estimated_zone")).alias("estimated_zone")
-    return scored.groupBy(group).agg(best)
+    utc = to_utc(F.col("local"), F.col("zone"))
+    early, late = F.timestamp_diff("SECOND", F.col("seen_from"), utc), F.timestamp_diff("SECOND", utc, F.col("seen_to"))
+    violated = F.coalesce(early < 0, F.lit(False)) | F.coalesce(late < 0, F.lit(False))
+    away = F.least(F.least(F.coalesce(early, late), F.coalesce(late, early)) / 3600.0, F.lit(VIOLATION))
+    costs = tried.groupBy(group, "month", "zone").agg(F.sum(F.when(violated, F.lit(VIOLATION)).otherwise(away)).alias("cost"))
+
+    def choose(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        table = pdf.pivot(index="month", columns="zone", values="cost").sort_index().sort_index(axis=1)
+        cost = table.to_numpy()
+        best, back = cost[0].copy(), []
+        for row in cost[1:]:
+            move = best.min() + SWITCH < best
+            back.append(np.where(move, best.argmin(), np.arange(len(best))))
+            best = np.minimum(best, best.min() + SWITCH) + row
+        at = [int(best.argmin())]
+        for b in reversed(back):
+            at.append(int(b[at[-1]]))
+        names = table.columns.to_numpy()
+        history = {int(m): names[i] for m, i in zip(table.index, reversed(at), strict=True)}
+        return pd.DataFrame({"grp": [key[0]], "zones": [history], "usual": [names[int(cost.sum(axis=0).argmin())]]})
+
+    kind = dict(local.dtypes)[group]
+    return costs.groupBy(group).applyInPandas(choose, f"grp {kind}, zones map<int,string>, usual string").withColumnRenamed("grp", group)
 
 
 def normalize_times(
-    df: DataFrame, column: str, zone: str, group: str | None = None, ingested: str | None = None, candidates: list[str] | None = None
+    df: DataFrame, column: str, zone: str, group: str | None = None, ingested: str | None = None, candidates: list[str] | None = None, sequence: str | None = None
 ) -> DataFrame:
     """Adds utc (timestamp_ntz), null where the text is no clock time or no zone can be told.
 
-    Zones are estimated only for groups that have rows without any, and only if group, ingestion column and candidates are given.
+    Zones are estimated only if there are rows without any, and group, candidates and an ingestion time or a sequence (a number) are given.
     """
     looked = df.withColumn("maybe_clock", F.when(has_clock_time(column), F.col(column)))
     parsed = parse_clock(looked, "maybe_clock").drop("maybe_clock")
-    stated = F.when(F.col("named_zone").isNotNull(), _checked_zone(F.col("named_zone"))).otherwise(_checked_zone(F.col(zone)))
+    row_zone = _checked_zone(F.col(zone))
+    stated = F.when(F.col("named_zone").isNotNull(), _checked_zone(F.col("named_zone"))).otherwise(row_zone)
     parsed = parsed.withColumn("used_zone", stated)
-    if group and ingested and candidates:
+    if group and candidates and (ingested or sequence) and not df.filter(has_clock_time(column) & row_zone.isNull()).isEmpty():
         bare = parsed.filter(F.col("used_zone").isNull() & F.col("named_zone").isNull())
-        estimates = materialize(estimate_zones(bare, group, ingested, candidates))
+        none = F.lit(None).cast("timestamp_ntz")
+        if ingested:
+            bounded = bare.withColumns({"seen_from": none, "seen_to": utc_bound(df, ingested)})
+        else:
+            known = parsed.filter(F.col("used_zone").isNotNull() & F.col("local").isNotNull()).select(sequence, to_utc(F.col("local"), F.col("used_zone")).alias("at"))
+            steps = sequence_bounds(known.unionByName(bare.select(sequence, none.alias("at"))), sequence, "at", ROWS_PER_STEP)
+            bounded = bare.withColumn("step", F.floor(F.col(sequence) / ROWS_PER_STEP).cast("bigint")).join(steps, "step")
+        estimates = materialize(estimate_zones(bounded, group, candidates))
         if estimates.count() <= BROADCAST_GROUPS:
             estimates = F.broadcast(estimates)
         parsed = parsed.join(estimates, group, "left")
-        own = F.when(F.col("named_zone").isNull(), F.col("estimated_zone"))
-        parsed = parsed.withColumn("used_zone", F.coalesce("used_zone", own)).drop("estimated_zone")
+        own = F.when(F.col("named_zone").isNull(), F.coalesce(F.col("zones")[month_no(F.col("local"))], F.col("usual")))
+        parsed = parsed.withColumn("used_zone", F.coalesce("used_zone", own)).drop("zones", "usual")
     return parsed.withColumn("utc", F.when(F.col("used_zone").isNotNull(), to_utc(F.col("local"), F.col("used_zone")))).drop(
         "local", "named_zone", "used_zone"
     )
