@@ -1,12 +1,12 @@
 """What changed between full snapshots: invertible Bloom lookup tables per hash bucket.
 
-Every record is a pair of 64-bit hashes (key, value). A snapshot adds its pairs to the table of its own comparison and takes them from the
-table of the next one, so subtraction is one aggregate with map-side combine: records that two snapshots share cancel, and only cells
+Every record is a pair of 64-bit hashes (key, value); only these and the line number are shuffled, once, by bucket. A snapshot adds its pairs to the table of its own
+comparison and takes them from the table of the next one, so subtraction is one aggregate in place: records that two snapshots share cancel, and only cells
 that differ leave the aggregate. Each bucket is peeled by itself. A bucket that doesn't peel to nothing is built again with four times
 the cells, for its records only, until all are done. Recovered pairs are verified (no cell is left, and the sums of what was recovered equal
-the difference of counts), joined back to their records by key hash, and classified: one side only is added or removed, both is changed.
+the difference of counts), classified, and named by a look at the lines that have their key hash: one side only is added or removed, both is changed.
 
-Cases: null and blank keys are no records; of repeated keys in a snapshot the one with the highest `order` counts; the lowest snapshot has
+Cases: null and blank keys are no records; of repeated keys in a snapshot the one with the highest `order` (a number) counts; the lowest snapshot has
 no changes; empty input gives no rows. Keys are text here; callers normalise them first.
 """
 
@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -22,15 +21,31 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 HASHES = 3
+#: Recovered keys are broadcast up to this many (under 50 bytes each) to be named; more are joined by a shuffle.
+BROADCAST_CHANGES = 200_000
+
+
+# The primes of the 64-bit xxhash.
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turn(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def _hash_long(x: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """xxhash64 of eight bytes each, all at once."""
+    h = (seed + _P5 + np.uint64(8)) ^ (_turn(x * _P2, 31) * _P1)
+    h = _turn(h, 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
 
 
 def _check(key: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Spark's xxhash64(key, value) of two bigint columns."""
-    out = np.empty(len(key), np.int64)
-    for i, (k, v) in enumerate(zip(key.astype("<i8"), value.astype("<i8"), strict=True)):
-        seed = xxhash.xxh64_intdigest(k.tobytes(), seed=42)
-        out[i] = np.uint64(xxhash.xxh64_intdigest(v.tobytes(), seed=seed)).astype(np.int64)
-    return out
+    seed = np.full(len(key), 42, np.uint64)
+    return _hash_long(value.astype(np.int64).view(np.uint64), _hash_long(key.astype(np.int64).view(np.uint64), seed)).view(np.int64)
 
 
 def _positions(check: np.ndarray, cells: int) -> np.ndarray:
@@ -83,25 +98,29 @@ def snapshot_changes(
     df: DataFrame, snapshot: str, key: str, value: list[str], order: str, rows_per_bucket: int = 2048, cells: int = 256
 ) -> DataFrame:
     """(snapshot, key, change_kind) against the next lower snapshot present."""
-    newest = F.max_by(F.struct(*value), F.col(order)).alias("r")
-    records = (
-        df.filter(F.col(key).isNotNull() & F.col(snapshot).isNotNull())
-        .groupBy(F.col(snapshot).alias("snap"), F.col(key).alias("key"))
-        .agg(newest)
-        .select("snap", "key", F.xxhash64("key").alias("h_key"), F.xxhash64(*[F.to_json(F.struct(F.col(f"r.{c}"))) for c in value]).alias("h_value"))
-        .withColumn("h_check", F.xxhash64("h_key", "h_value"))
-    )
-    records = materialize(records)
-    sizes = records.groupBy("snap").agg(F.count(F.lit(1)).alias("n"))
+    lines = df.filter(F.col(key).isNotNull() & F.col(snapshot).isNotNull()).select(
+        F.col(snapshot).alias("snap"), F.col(key).alias("key"), F.xxhash64(key).alias("h_key"),
+        F.xxhash64(*[F.to_json(F.struct(F.col(c))) for c in value]).alias("h_value"), F.col(order).cast("bigint").alias("line"),
+    )
     # one row a snapshot: their number is that of deliveries, not of records
+    sizes = lines.groupBy("snap").agg(F.count(F.lit(1)).alias("n"))
     numbered = materialize(sizes.withColumn("pair_no", F.row_number().over(W.orderBy("snap")).cast("int")).coalesce(1))
     top = numbered.agg(F.max("n").alias("n"), F.max("pair_no").alias("last")).first()
     if not top["n"]:
         return df.select(F.col(snapshot), F.col(key), F.lit("").alias("change_kind")).limit(0)
     buckets = max(1, -(-top["n"] // rows_per_bucket))
-    bucketed = records.join(F.broadcast(numbered.drop("n")), "snap").withColumn("bucket", F.pmod("h_key", F.lit(buckets)).cast("int"))
-    # one shuffle by bucket serves both aggregates below: cells and buckets of a bucket are in one place then
-    signed = bucketed.select("pair_no", "bucket", "h_key", "h_value", "h_check").repartition("bucket").withColumn(
+    # the one shuffle of records, numbers only: what follows groups by the bucket and more, so it stays in place
+    placed = (
+        lines.drop("key").join(F.broadcast(numbered.drop("n")), "snap")
+        .select("pair_no", "h_key", "h_value", "line", F.pmod("h_key", F.lit(buckets)).cast("int").alias("bucket")).repartition("bucket")
+    )
+    keyed = placed.groupBy("pair_no", "bucket", "h_key").agg(F.count(F.lit(1)).alias("times"), F.max("line").alias("line"), F.bit_xor("h_value").alias("h_value"))
+    keyed = materialize(keyed)
+    # keys that stand more than once in a snapshot: the value of the last line
+    several = keyed.filter("times > 1").select("pair_no", "bucket", "h_key", "line")
+    last = placed.join(several, ["pair_no", "bucket", "h_key", "line"]).groupBy("pair_no", "bucket", "h_key").agg(F.max("h_value").alias("h_value"))
+    records = keyed.filter("times = 1").select("pair_no", "bucket", "h_key", "h_value").unionByName(last)
+    signed = records.withColumn("h_check", F.xxhash64("h_key", "h_value")).withColumn(
         "sides", F.array(F.struct("pair_no", F.lit(1).alias("side")), F.struct((F.col("pair_no") + 1).alias("pair_no"), F.lit(-1).alias("side")))
     ).select("bucket", "h_key", "h_value", "h_check", F.inline("sides"))
     signed = signed.filter(F.col("pair_no").between(2, top["last"]))
@@ -134,8 +153,11 @@ def snapshot_changes(
     kinds = kinds.withColumn(
         "change_kind", F.when(F.col("old") > 0, "added").when(F.col("new") < 0, "removed").otherwise("changed")
     )
-    # the record of a change: in the newer snapshot, or for a removed key in the older one
+    # the name of a recovered key: from the newer snapshot, or for a removed key from the older one
     kinds = kinds.withColumn("at", F.when(F.col("change_kind") == "removed", F.col("pair_no") - 1).otherwise(F.col("pair_no")))
-    named = bucketed.select(F.col("pair_no").alias("at"), "h_key", "key")
-    out = kinds.join(named, ["at", "h_key"]).join(F.broadcast(numbered.select("pair_no", "snap")), "pair_no")
-    return out.select(F.col("snap").alias(snapshot), F.col("key").alias(key), "change_kind")
+    catalogue = F.broadcast(numbered.select("pair_no", "snap"))
+    kinds = materialize(kinds.join(catalogue.withColumnsRenamed({"pair_no": "at", "snap": "at_snap"}), "at").join(catalogue, "pair_no").select("at_snap", "h_key", "snap", "change_kind"))
+    if kinds.count() <= BROADCAST_CHANGES:
+        kinds = F.broadcast(kinds)
+    named = lines.select(F.col("snap").alias("at_snap"), "h_key", "key").join(kinds, ["at_snap", "h_key"])
+    return named.groupBy("snap", "key").agg(F.first("change_kind").alias("change_kind")).select(F.col("snap").alias(snapshot), F.col("key").alias(key), "change_kind")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import calendar_date
-from ..functions.text import drop_blanks, wide_trim
+from ..functions.text import collapse_blanks, wide_trim
 from ..operators.bad_rows import load_lines
 from ..operators.schema_drift import schema_changes, unified_table
 from ..operators.snapshots import snapshot_changes
@@ -35,7 +35,7 @@ def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
         "snapshot_no",
         tidy_docid().alias("docid"),
         calendar_date(F.regexp_replace(wide_trim("filingdate"), r"(?s)[T ]+\d{1,2}:\d{2}.*\z", "")).alias("day"),
-        F.coalesce(drop_blanks("member"), F.lit("")).alias("member"),
+        F.coalesce(collapse_blanks("member"), F.lit("")).alias("member"),
     )
     return snapshot_changes(index, "snapshot_no", "docid", ["day", "member"], "line_no").select("docid", "snapshot_no", "change_kind")
 
@@ -55,8 +55,9 @@ def p3_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _times(df: DataFrame, table: str, row: str, column: str, group: str, ingested: str | None) -> DataFrame:
+    """Clock times of a column; zones that the office doesn't name are estimated from ingestion times, or else from the order of the rows."""
     clocks = df.filter(has_clock_time(column))  # plain dates are no cases
-    out = normalize_times(clocks, column, "office_tz", group if ingested else None, ingested, OFFICE_ZONES)
+    out = normalize_times(clocks, column, "office_tz", group, ingested, OFFICE_ZONES, None if ingested else row)
     return out.filter("utc is not null").select(
         F.lit(table).alias("source_table"),
         F.col(row).alias("row_id"),

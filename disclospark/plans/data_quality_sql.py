@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from .disclosures_sql import _SPACES, _blank, _date, _range, _ticker, _trim
+from .disclosures_sql import _blank, _date, _range, _squeeze, _ticker, _trim
 
 _P2 = f"""
 with b as (
  select line_no, snapshot_no, nullif(regexp_replace({_trim('docid')}, '\\.0+$', ''), '') as docid,
-  {_date(f"regexp_replace({_trim('filingdate')}, '(?s)[T ]+[0-9]{{1,2}}:[0-9]{{2}}.*$', '')")} as day, coalesce(regexp_replace(member, '{_SPACES}+', '', 'g'), '') as member
+  {_date(f"regexp_replace({_trim('filingdate')}, '(?s)[T ]+[0-9]{{1,2}}:[0-9]{{2}}.*$', '')")} as day, coalesce({_squeeze('member')}, '') as member
  from filing_index
 ), l as (
  select * from b where docid is not null and snapshot_no is not null qualify row_number() over (partition by snapshot_no, docid order by line_no desc) = 1
@@ -64,7 +64,7 @@ _EQUAL = ", ".join(
 )
 _SHARES = ", ".join(f"{{'f': '{f}', 's': case when n_{f} > 0 then e_{f} / n_{f} else 0 end, 'e': e_{f}}}" for f in _FIELDS)
 # what a key holds is told by content alone: the column it equals most often, the key that equals a column most often
-_P6 = f"""
+_P6_MEANINGS = f"""
 with j as (select *, json(raw_json) as js from raw_transactions where json_valid(raw_json) and json_type(raw_json) = 'OBJECT'),
 k as (select j.*, unnest(json_keys(js)) as key from j),
 v as (select *, json_extract(js, '$."' || key || '"') as val from k),
@@ -75,7 +75,9 @@ g as (select feed, batch_no, key, {_EQUAL},
 c as (select feed, batch_no, key, kind, unnest([{_SHARES}]) as u from g),
 b as (select feed, batch_no, key, u.f as field, u.s as share from c where u.s >= 0.5 and u.e > 0
   qualify row_number() over (partition by feed, batch_no, key order by u.s desc, u.e desc) = 1 and row_number() over (partition by feed, batch_no, u.f order by u.s desc, u.e desc) = 1),
-m as (select g.feed, g.batch_no, g.key, g.kind, coalesce('known ' || b.field, 'other ' || g.key) as meaning from g left join b using (feed, batch_no, key)),
+m as (select g.feed, g.batch_no, g.key, g.kind, coalesce('known ' || b.field, 'other ' || g.key) as meaning from g left join b using (feed, batch_no, key))
+"""
+_P6 = _P6_MEANINGS + f""",
 f as (select feed, batch_no, lag(batch_no) over (partition by feed order by batch_no) as before from (select distinct feed, batch_no from raw_transactions)),
 n as (select m.*, f.before from m join f using (feed, batch_no) where f.before is not null),
 o as (select m.feed, f.batch_no, m.key, m.kind, m.meaning from m join f on m.feed = f.feed and m.batch_no = f.before),
@@ -87,7 +89,19 @@ union all select feed, batch_no, 'renamed', old_key, new_key from x where old_ke
 union all select feed, batch_no, 'retyped', new_key, new_key from x where k0 <> k1
 """
 
+# the ten fields by the key that bears each, all other values as one object; values nest one deep
+_P6_TABLE = _P6_MEANINGS + f""",
+y as (select row_id, feed, batch_no, field, leaf, unnest(case when field is not null then [null] when kind = 'OBJECT' then list_transform(json_keys(val), lambda m: [key || '.' || m, json_extract_string(val, '$."' || m || '"')])
+  when kind = 'ARRAY' then list_transform(range(json_array_length(val)::bigint), lambda i: [key || '[' || i || ']', json_extract_string(val, '$[' || i || ']')]) else [[key, leaf]] end) as kv
+  from l left join b using (feed, batch_no, key)),
+o as (select row_id, {", ".join(f"max(leaf) filter (field = '{f}') as {f}" for f in _FIELDS)},
+  map(list(kv[1] order by kv[1]) filter (kv is not null), list(kv[2] order by kv[1]) filter (kv is not null)) as rest from y group by row_id)
+select row_id, feed, batch_no, {", ".join(f"o.{f}" for f in _FIELDS)}, case when json_valid(raw_json) and json_type(raw_json) = 'OBJECT' then coalesce(cast(to_json(rest) as varchar), '{{}}') end as others
+from raw_transactions left join o using (row_id)
+"""
+
 ORACLE = {
+    "p6_table": _P6_TABLE,
     "p6_found": _P6,
     "p2_found": _P2,
     "p3_found": _all_lines() + "select line_id, reason from e where reason is not null",
