@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from .html import header_rows, parse_header_tables, parse_ptr_tables
+from .html import parse_header_tables, parse_ptr_tables
 from .json_hits import parse_hits
 
-__all__ = ["header_rows", "parse", "parse_header_tables", "parse_hits", "parse_ptr_tables"]
+__all__ = ["parse", "parse_header_tables", "parse_hits", "parse_ptr_tables"]
 
 
 def parse(df: DataFrame, kind: str, column: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -35,7 +35,6 @@ DEFAULT_ORDER = (
     "politician", "filing_date", "transaction_date", "owner", "ticker", "asset_name", "asset_type", "type", "amount",
 )
 _BLANKS = re.compile(r"\s+")
-_FOUND = "doc bigint, table_no int, row_no int, in_body boolean, table_class string, table_id string, is_header array<boolean>, cells array<string>"
 
 
 class _Tables(HTMLParser):
@@ -107,100 +106,109 @@ class _Tables(HTMLParser):
             self.handle_endtag("table")
 
 
-def html_rows(df: DataFrame, doc: str, column: str) -> DataFrame:
-    """Every table row of every text. Texts without a `<tr` never reach Python."""
+# Marks of the table that holds the rows, the best first; any other table comes last.
+TABLE_MARKS = (("class", "table-striped"), ("id", "filedReports"), ("class", "efts-table"))
+
+
+def _rows_of(text: str) -> list[tuple]:
+    p = _Tables()
+    p.feed(text)
+    p.close()
+    return p.rows
+
+
+def _data_cells(heads: list[bool], cells: list[str]) -> list[str]:
+    return [c for h, c in zip(heads, cells, strict=True) if not h]
+
+
+def detail_rows(text: str) -> Iterator[tuple[int, list[str]]]:
+    """(row number, data cells) of a detail page. Rows inside a tbody win; without one, rows with data cells count."""
+    rows = _rows_of(text)
+    bodied = any(body for _, _, body, *_ in rows)
+    no = -1
+    for _, _, body, _, _, heads, cells in sorted(rows, key=lambda r: r[:2]):
+        td = _data_cells(heads, cells)
+        if body if bodied else td:
+            no += 1
+            yield no, td
+
+
+def _rung(table_class: str, table_id: str) -> int:
+    return next((i for i, (kind, mark) in enumerate(TABLE_MARKS) if (mark in table_class.split() if kind == "class" else table_id == mark)), len(TABLE_MARKS))
+
+
+def header_mapped_rows(text: str) -> Iterator[tuple[list[str], list[str]]]:
+    """(fields in DEFAULT_ORDER, data cells) of the rows below the header of the table that the marks prefer. The last header that names a field wins."""
+    rows = _rows_of(text)
+    if not rows:
+        return
+    _, best = min((_rung(r[3], r[4]), r[0]) for r in rows)
+    own = sorted((r for r in rows if r[0] == best), key=lambda r: r[1])
+    if own[0][1] != 0:
+        return
+    place = {f: i for i, f in enumerate(DEFAULT_ORDER)}
+    place |= {HEADER_SYNONYMS[h]: i for i, c in enumerate(own[0][6]) if (h := c.lower()) in HEADER_SYNONYMS}
+    for r in own[1:]:
+        td = _data_cells(r[5], r[6])
+        if td:
+            yield [td[place[f]] if place[f] < len(td) else "" for f in DEFAULT_ORDER], td
+
+
+def _read_pages(df: DataFrame, column: str, keep: list[str], read: Callable[[str], Iterator[tuple]], made: list[tuple[str, str, pa.DataType]]) -> DataFrame:
+    """`keep` and the read values, a row each; one pass over the pages. Texts without a `<tr` never reach Python."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                p = _Tables()
-                p.feed(text)
-                p.close()
-                out += [(key, *r) for r in p.rows]
-            names = ["doc", "table_no", "row_no", "in_body", "table_class", "table_id", "is_header", "cells"]
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.string(), pa.string(), pa.list_(pa.bool_()), pa.list_(pa.string())]
-            cols = list(zip(*out, strict=True)) if out else [[]] * len(names)
-            yield pa.record_batch([pa.array(list(c), k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            at, out = [], []
+            for i, text in enumerate(b.column(b.num_columns - 1).to_pylist()):
+                for r in read(text):
+                    at.append(i)
+                    out.append(r)
+            values = list(zip(*out, strict=True)) if out else [[] for _ in made]
+            where = pa.array(at, pa.int64())
+            yield pa.record_batch(
+                [*[c.take(where) for c in b.columns[:-1]], *[pa.array(list(v), t) for v, (_, _, t) in zip(values, made, strict=True)]],
+                names=[*keep, *[n for n, _, _ in made]],
+            )
 
-    relevant = df.filter(F.lower(F.col(column)).contains("<tr"))
-    return relevant.select(F.col(doc).cast("bigint").alias("doc"), F.col(column).alias("html")).mapInArrow(parse, _FOUND)
+    chosen = df.filter(F.lower(F.col(column)).contains("<tr")).select(*keep, column)
+    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in chosen.schema.fields[:-1]] + [f"`{n}` {t}" for n, t, _ in made]
+    return chosen.mapInArrow(parse, ", ".join(schema))
 
 
 def parse_ptr_tables(meta: DataFrame, column: str = "html") -> DataFrame:
     """Detail tables of electronic reports: at least eight cells, read by position.
 
-    `meta` has doc_key (long), politician, filing_date, ptr_uuid, office and the HTML column. Rows inside a tbody win;
-    without one, rows with cells count. The row number in source_id also counts rows that are left out.
+    `meta` has politician, filing_date, ptr_uuid, office and the HTML column. The row number in source_id also counts rows that are left out.
     """
-    rows = html_rows(meta, "doc_key", column)
-    n_cells = F.size(F.filter("is_header", lambda h: ~h))
-    in_body = F.max(F.when(F.col("in_body"), 1).otherwise(0))
-    has_body = rows.groupBy("doc").agg(in_body.alias("has_body"))
-    from pyspark.sql import Window as W
-
-    w = W.partitionBy("doc").orderBy("table_no", "row_no")
-    picked = (
-        rows.join(has_body, "doc")
-        .filter(F.when(F.col("has_body") == 1, F.col("in_body")).otherwise(n_cells > 0))
-        .withColumn("idx", F.row_number().over(w) - 1)
-        .withColumn("td", F.transform(F.filter(F.arrays_zip("is_header", "cells"), lambda x: ~x["is_header"]), lambda x: x["cells"]))
-        .filter(F.size("td") >= 8)
-    )
+    read = lambda text: ((no, td) for no, td in detail_rows(text) if len(td) >= 8 and td[4] != "")
+    keep = ["politician", "filing_date", "ptr_uuid", "office"]
+    rows = _read_pages(meta, column, keep, read, [("idx", "int", pa.int32()), ("td", "array<string>", pa.list_(pa.string()))])
     c = lambda i: F.get(F.col("td"), F.lit(i))
-    return (
-        picked.filter(c(4) != "")
-        .join(meta.drop(column), picked.doc == meta.doc_key)
-        .select(
-            "politician",
-            c(1).alias("transaction_date"),
-            "filing_date",
-            c(3).alias("ticker"),
-            c(4).alias("asset_name"),
-            c(5).alias("asset_type"),
-            c(6).alias("type"),
-            c(7).alias("amount"),
-            c(2).alias("owner"),
-            F.concat_ws("|", "ptr_uuid", "idx").alias("source_id"),
-            F.to_json(F.struct("ptr_uuid", F.col("idx").alias("row_index"), F.col("td").alias("cells"), "office")).alias("raw_json"),
-        )
-    )
-
-
-def header_rows(rows: DataFrame) -> DataFrame:
-    """Of each text, the rows of the table that a ladder of markers prefers, each with its column map."""
-    rung = (
-        F.when(F.array_contains(F.split("table_class", r"\s+"), "table-striped"), 0)
-        .when(F.col("table_id") == "filedReports", 1)
-        .when(F.array_contains(F.split("table_class", r"\s+"), "efts-table"), 2)
-        .otherwise(3)
+    return rows.select(
+        "politician",
+        c(1).alias("transaction_date"),
+        "filing_date",
+        c(3).alias("ticker"),
+        c(4).alias("asset_name"),
+        c(5).alias("asset_type"),
+        c(6).alias("type"),
+        c(7).alias("amount"),
+        c(2).alias("owner"),
+        F.concat_ws("|", "ptr_uuid", "idx").alias("source_id"),
+        F.to_json(F.struct("ptr_uuid", F.col("idx").alias("row_index"), F.col("td").alias("cells"), "office")).alias("raw_json"),
     )
-    best = rows.groupBy("doc").agg(F.min(F.struct(rung.alias("rung"), "table_no")).alias("best"))
-    own = rows.join(best, "doc").filter(F.col("table_no") == F.col("best.table_no")).drop("best")
-    head = own.filter("row_no = 0").select("doc", F.transform("cells", lambda c: F.lower(collapse_blanks(c))).alias("head"))
-    synonyms = F.create_map(*[F.lit(x) for kv in HEADER_SYNONYMS.items() for x in kv])
-    known = F.transform("head", lambda h: F.element_at(synonyms, h))
-    place = [
-        F.coalesce(
-            # the last header that names a field wins
-            F.when(F.array_contains(known, f), F.size("head") - F.array_position(F.reverse(known), f)), F.lit(i)
-        ).alias(f"at_{f}")
-        for i, f in enumerate(DEFAULT_ORDER)
-    ]
-    return own.filter("row_no > 0").join(head.select("doc", *place), "doc")
 
 
 def parse_header_tables(df: DataFrame, column: str = "html") -> DataFrame:
     """Raw transactions of header-mapped tables; rows without cells or politician vanish; the source id is made of content."""
-    keyed = df.select(F.monotonically_increasing_id().alias("doc_key"), F.col(column))
-    rows = header_rows(html_rows(keyed, "doc_key", column))
-    td = F.transform(F.filter(F.arrays_zip("is_header", "cells"), lambda x: ~x["is_header"]), lambda x: x["cells"])
-    cells = rows.withColumn("td", td).filter(F.size("td") > 0)
-    c = {f: F.coalesce(F.get(F.col("td"), F.col(f"at_{f}").cast("int")), F.lit("")) for f in DEFAULT_ORDER}
+    texts = pa.list_(pa.string())
+    rows = _read_pages(df, column, [], header_mapped_rows, [("fields", "array<string>", texts), ("td", "array<string>", texts)])
+    c = {f: F.get("fields", F.lit(i)) for i, f in enumerate(DEFAULT_ORDER)}
     source = collapse_blanks(F.concat_ws("|", c["politician"], c["transaction_date"], c["asset_name"], c["amount"]))
     raw = F.to_json(F.map_from_arrays(F.transform("td", lambda x, i: F.concat(F.lit("col_"), i.cast("string"))), F.col("td")))
     out = {**c, "source_id": source}
-    return cells.filter(wide_trim(c["politician"]) != "").select(*[out[f].alias(f) for f in RAW_FIELDS], raw.alias("raw_json"))
+    return rows.filter(wide_trim(c["politician"]) != "").select(*[out[f].alias(f) for f in RAW_FIELDS], raw.alias("raw_json"))
 
 
 def fallback_needed(raw: DataFrame) -> bool:

@@ -18,7 +18,7 @@ KIND_CODES = {"P": "Purchase", "S": "Sale", "S (partial)": "Sale (Partial)", "E"
 
 _AMOUNT = r"\$[\d,]+(?:\s*[-\x{2013}]\s*\$[\d,]+)?|Over\s+\$[\d,]+"
 _RECORD = (
-    r"(\b(?:SP|DC|JT)\s[^\[\]]{1,300}?|[^\[\]\n]+?)(?:\(([A-Za-z0-9.\-]{1,8})\)\s*)?\[([A-Z]{2,3})\]\s*"
+    r"(\b(?:SP|DC|JT)\s[^\[\]]+?|[^\[\]\n]+?)(?:\(([A-Za-z0-9.\-]+)\)\s*)?\[([A-Z]{2,3})\]\s*"
     r"(P|S \(partial\)|S|E)\s*(\d{1,2}/\d{1,2}/\d{4})\s*(\d{1,2}/\d{1,2}/\d{4})\s*(" + _AMOUNT + ")"
 )
 
