@@ -5,14 +5,15 @@ import datetime as dt
 import io
 import json
 import random
+import zoneinfo
 
 import pytest
 from pyspark.sql import functions as F
 
 from disclospark.operators.bad_rows import load_lines, split_records
-from disclospark.operators.schema_drift import schema_changes, unified_table
+from disclospark.operators.schema_drift import payload_problems, schema_changes, similarity_flooding, unified_table
 from disclospark.operators.snapshots import snapshot_changes
-from disclospark.operators.timestamps import estimate_zones, normalize_times, utc_text
+from disclospark.operators.timestamps import has_clock_time, normalize_times, parse_clock, utc_text
 from disclospark.schemas import RAW_FIELDS
 
 # snapshots
@@ -143,20 +144,77 @@ def test_clock_times(spark):
     assert got == {i: u for i, (_, u) in enumerate(CLOCKS)}
 
 
-def test_missing_zones_are_estimated(spark):
-    zones = ["America/New_York", "America/Los_Angeles", "Pacific/Honolulu"]
-    rows = []
-    for zone, lag in ((zones[0], 4), (zones[1], 4), (zones[2], 4)):
-        for k in range(40):
-            seen = dt.datetime(2026, 1 + k % 12, 3, 20, k)
-            local = (seen - dt.timedelta(minutes=lag + k)).replace(tzinfo=dt.timezone.utc).astimezone(__import__("zoneinfo").ZoneInfo(zone))
-            rows.append((zone, local.strftime("%Y-%m-%d %H:%M:%S"), seen, None))
-    df = spark.createDataFrame(rows, "feed string, t string, seen timestamp_ntz, tz string")
-    out = normalize_times(df, "t", "tz", "feed", "seen", zones).select("feed", F.timestamp_diff("SECOND", "utc", "seen").alias("lag")).collect()
-    assert len(out) == 120
-    assert all(0 <= r["lag"] <= 50 * 60 for r in out)
-    local = df.select("feed", F.to_timestamp_ntz("t").alias("local"), "seen")
-    assert {tuple(r) for r in estimate_zones(local, "feed", "seen", zones).collect()} == {(z, z) for z in zones}
+def clock_texts():
+    """Combinations of all that the grammar of clock times takes."""
+    dates = ("2026-04-09", "2026/4/9", "2026.4.9", "4/9/2026", "04.09.26", "9-Apr-2026", "09 April. 2026", "Thu, 9 apr, 2026", "Apr. 9, 2026", "April 9th 2026", "20260409")
+    gaps, times, zones = ("T", "t", " ", ", ", " at ", "  AT ", "\u202f"), ("9:15", "09:15:07", "09:15:07.12", "09:15:07,123456789", "091507"), ("", " am", "a.m.", " PM ET", "Z", " EST", "-04", " +0530", " GMT-0400 (x)", "[America/New_York]")
+    return [d + g + t + z for d in dates for g in gaps for t in times for z in zones] + ["1775747707", "1775747707.5", "1775747707120", "1775747707120000", " 1775747707 "]
+
+
+def test_first_look_loses_no_clock_time(spark):
+    df = spark.createDataFrame([(t,) for t in clock_texts()], "t string")
+    read = parse_clock(df, "t").filter("local is not null")
+    assert read.count() > 3000
+    assert read.filter(~has_clock_time("t")).collect() == []
+    for t in ("20260409 151507", "2026-04-09 151507", "2026-04-09t151507", "04/09/2026 at 101530"):
+        row = normalize_times(spark.createDataFrame([(t, "America/New_York")], "t string, tz string"), "t", "tz").first()
+        assert row["utc"] is not None, t
+
+
+def zoned(zone, when):
+    return when.replace(tzinfo=dt.timezone.utc).astimezone(zoneinfo.ZoneInfo(zone)).strftime("%Y-%m-%d %H:%M:%S")
+
+
+ZONES = ["America/New_York", "America/Los_Angeles", "Pacific/Honolulu"]
+
+
+def told(df, want, **how):
+    """Share of rows whose time comes out within a minute of the true one."""
+    got = {r["i"]: r["utc"] for r in normalize_times(df, "t", "tz", "feed", candidates=ZONES, **how).collect()}
+    assert len(got) == len(want)
+    return sum(got[i] is not None and abs(got[i] - want[i]) < dt.timedelta(minutes=1) for i in want) / len(want)
+
+
+@pytest.mark.parametrize("kind", ["timestamp_ntz", "timestamp"])
+def test_missing_zones_are_estimated(spark, kind):
+    """A constant zone a group, and one that moves from coast to coast and back."""
+    rows, want = [], {}
+    for g, zones in enumerate((ZONES[:1], ZONES[1:2], ZONES[2:], [ZONES[0], ZONES[1], ZONES[0]])):
+        for k in range(240):
+            when = dt.datetime(2026, 1, 3) + dt.timedelta(days=k * 1.5, minutes=k)
+            i = len(rows)
+            rows.append((i, f"f{g}", zoned(zones[k * len(zones) // 240], when), when + dt.timedelta(minutes=4 + k % 50), None))
+            want[i] = when
+    df = spark.createDataFrame(rows, "i long, feed string, t string, seen timestamp_ntz, tz string")
+    if kind == "timestamp":
+        df = df.withColumn("seen", F.expr("timestamp_micros(timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01', seen))"))
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+    try:
+        assert told(df, want, ingested="seen") >= 0.95
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_missing_zones_from_sequence_order(spark):
+    """Rows of known zone before and after a row bound its time; a row without any bound takes the usual zone."""
+    rows, want = [], {}
+    for i in range(30_000):
+        when = dt.datetime(2026, 1, 3) + dt.timedelta(minutes=9 * i)
+        bare = i % 7 == 3
+        zone = ZONES[1] if bare else ZONES[0]
+        rows.append((i, "f", zoned(zone, when), None if bare else zone))
+        if bare:
+            want[i] = when
+    df = spark.createDataFrame(rows, "i long, feed string, t string, tz string")
+    got = {r["i"]: r["utc"] for r in normalize_times(df, "t", "tz", "feed", candidates=ZONES, sequence="i").collect()}
+    assert sum(got[i] == w for i, w in want.items()) >= 0.95 * len(want)
+
+
+def test_no_zone_can_be_told(spark):
+    df = spark.createDataFrame([(1, "f", "2026-04-09 10:00", None, None), (2, None, "2026-04-09 10:00Z", None, "x/y")], "i long, feed string, t string, seen timestamp_ntz, tz string")
+    got = {r["i"]: r["utc"] for r in normalize_times(df, "t", "tz", "feed", "seen", ZONES).collect()}
+    assert got == {1: None, 2: dt.datetime(2026, 4, 9, 10)}
+    assert normalize_times(df.limit(0), "t", "tz", "feed", "seen", ZONES).collect() == []
 
 
 # drifting payloads
@@ -189,6 +247,60 @@ def test_drift(spark):
     assert json.loads(table[0]["others"]) == {"page": "3", "note": "x"}
 
 
+def drift_frame(spark, rows):
+    """rows: (batch, payload made of the row's own columns or a text, columns that are null); one feed."""
+    out = []
+    for i, (batch, payload, *gone) in enumerate(rows):
+        own = {c: None if gone and c in gone[0] else f"{c}{i}" for c in RAW_FIELDS}
+        out.append((i, "f", batch, *own.values(), payload(own) if callable(payload) else payload))
+    return spark.createDataFrame(out, "row_id long, feed string, batch_no int, " + ", ".join(f"{c} string" for c in RAW_FIELDS) + ", raw_json string")
+
+
+def changes(df):
+    return {tuple(r)[1:] for r in schema_changes(df, "raw_json", "feed", "batch_no").collect()}
+
+
+def test_all_members_of_nested_values_are_read(spark):
+    def one(o):
+        return json.dumps({"asset": {"isin": "X", "a.b": 1, "name": o["asset_name"]}, "amount": [o["amount"], "4", {"deep": [True, None]}], "when": {"tx": o["transaction_date"], "filed": o["filing_date"]}})
+
+    df = drift_frame(spark, [(1, one), (1, one), (1, '{"asset": {}}')])
+    rows = {r["row_id"]: r for r in unified_table(df, "raw_json", "feed", "batch_no", "row_id").collect()}
+    r = rows[0]
+    assert (r["asset_name"], r["amount"], r["transaction_date"], r["filing_date"]) == ("asset_name0", "amount0", "transaction_date0", "filing_date0")
+    assert json.loads(r["others"]) == {"asset.isin": "X", "asset.a\\.b": "1", "amount[1]": "4", "amount[2].deep[0]": "true", "amount[2].deep[1]": None}
+    assert rows[2]["others"] == "{}"
+
+
+def test_repeated_keys_and_broken_payloads(spark):
+    df = drift_frame(spark, [(1, '{"who": "x", "n": 1, "who": "politician0"}'), (1, "no"), (1, "[1]"), (1, None), (1, '{"n": NaN}'), (1, "[" * 100_000)])
+    rows = {r["row_id"]: r for r in unified_table(df, "raw_json", "feed", "batch_no", "row_id").collect()}
+    assert (rows[0]["politician"], rows[0]["others"]) == ("politician0", '{"n":"1"}')
+    assert [rows[i]["others"] for i in range(1, 6)] == [None] * 5
+    assert {(r["problem"], r["rows"]) for r in payload_problems(df, "raw_json", "feed", "batch_no").collect()} == {("malformed", 3), ("not_an_object", 1), ("repeated_key", 1)}
+
+
+def test_flooding_knows_what_content_cannot_tell(spark):
+    """In file 2 the filer is null throughout and stands under another key, in file 3 nested: types, order and names of the graph carry its meaning."""
+    first = lambda o: json.dumps({"docLine": "z", "filer": o["politician"], "txDate": o["transaction_date"], "amt": o["amount"], "page": 3})
+    second = lambda o: json.dumps({"docLine": "z", "filerName": "somebody", "txDate": o["transaction_date"], "amt": o["amount"], "page": 3})
+    third = lambda o: json.dumps({"docLine": "z", "filer": {"name": None}, "txDate": o["transaction_date"], "amt": o["amount"], "page": 3})
+    df = drift_frame(spark, [(1, first), (1, first), (2, second, RAW_FIELDS[:1]), (2, second, RAW_FIELDS[:1]), (3, third), (4, first)])
+    assert changes(df) == {(2, "renamed", "filer", "filerName"), (3, "renamed", "filerName", "filer"), (3, "retyped", "filer", "filer"), (4, "retyped", "filer", "filer")}
+    # content that speaks against it is not overruled
+    other = lambda o: json.dumps({"docLine": "z", "filerName": "somebody", "txDate": o["transaction_date"], "amt": o["amount"], "page": 3})
+    df = drift_frame(spark, [(1, first), (2, other)])
+    assert changes(df) == {(2, "removed", "filer", ""), (2, "added", "", "filerName")}
+
+
+def test_flooding_of_two_graphs():
+    a = [("r", "child", "x"), ("r", "child", "y"), ("x", "type", "t"), ("y", "type", "u")]
+    b = [("R", "child", "p"), ("R", "child", "q"), ("p", "type", "T"), ("q", "type", "U")]
+    s = similarity_flooding(a, b, {("r", "R"): 1.0, ("t", "T"): 1.0, ("u", "U"): 1.0, ("t", "U"): 0.0, ("u", "T"): 0.0})
+    assert s["x", "p"] > s["x", "q"] and s["y", "q"] > s["y", "p"]
+    assert max(s.values()) == 1.0
+
+
 def test_no_payloads(spark):
     df = spark.createDataFrame([], "row_id long, feed string, batch_no int, " + ", ".join(f"{c} string" for c in RAW_FIELDS) + ", raw_json string")
     assert schema_changes(df, "raw_json", "feed", "batch_no").collect() == []
