@@ -1,13 +1,14 @@
 """Freely entered values to the entries of a reference list.
 
-Distinct values are normalised (case, quotes, punctuation, blanks), their character n-grams looked up in an inverted index of the list's forms (labels, other names,
-codes in use) by an equi-join, and candidates scored by cosine with inverse-frequency weights. A candidate is accepted above a threshold
-and a margin to the next entry, after a check of the spelling: at most one typo in eight letters, in the words as written, run together or in another
-order, qualifying words aside.
-
-Cases: null and blank values are no values; values equal to a form after normalising are matched outright, however short; ties between entries
-and values below the threshold are `unmatched`; repeated rows share one distinct value; very long values are compared whole; empty input gives
-no rows.
+Distinct values are normalised (case, quotes, punctuation, blanks, qualifying words), their character n-grams looked up in an inverted index of the list's forms (labels, other
+names, codes in use) by an equi-join, and candidates scored by cosine with inverse-frequency weights. The n-grams are those of two and three letters, the
+words and the whole value with one letter skipped (two spellings one typo apart share some, a word inside a longer one doesn't), and how words begin. The entry of highest cosine is
+accepted if it is above the threshold and by a margin above the next entry; only forms that pass a check of the spelling count: at most one typo in eight letters, in the words as
+written, run together or in another order, qualifying words aside.
+
+Cases: null and blank values are no values; ties between entries, within the margin,
+and values below the threshold are `unmatched`; repeated rows share one distinct value; very long values are compared whole (words and values over 64 letters
+without their skip-grams); empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -26,8 +27,8 @@ from .names import edits
 
 # Words that qualify an entry without changing it.
 QUALIFIERS = frozenset("of shares share account acct ira other owner type asset the a an".split())
-THRESHOLD = 0.12
-MARGIN = 0.02
+THRESHOLD = 0.2
+MARGIN = 0.03
 _CODE = re.compile(r"^\s*[\[(]\s*\w{1,5}\s*[\])]\s*(?=\w)|(?<=\w)\s*[\[(]\s*[A-Z]{2,5}\s*[\])]\s*$")
 _PUNCT = re.compile(r"[^\w]+|_+")
 
@@ -45,16 +46,26 @@ def _grams(s: str) -> list[str]:
     return [s[i : i + n] for n in (2, 3) for i in range(len(s) - n + 1)]
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def value_grams(value: pd.Series) -> pd.Series:
-    """Grams of the words, each padded, and of the words run together; so neither order nor a lost blank hides a form."""
+def _skipped(s: str) -> set[str]:
+    """The text, and the text with one letter left out."""
+    return {s} | ({s[:i] + s[i + 1 :] for i in range(len(s))} if 2 < len(s) <= 64 else set())
 
-    def of(v: str) -> list[str]:
-        ws = _plain(words(v))
-        out = {g for w in ws for g in _grams(f"#{w}#")} | set(_grams("".join(ws)))
-        return sorted(out)
 
-    return value.map(lambda v: of(v or ""))
+def features(value: str) -> set[str]:
+    """Marked n-grams: of the words, each padded, and of the words run together, so neither order nor a lost blank hides a form."""
+    ws = _plain(words(value))
+    run = "".join(ws)
+    if not run:
+        return set()
+    out = set(_grams(run)) | {f"_{g}" for g in _skipped(run)} | {f"={''.join(sorted(run))}"}
+    for w in ws:
+        out |= set(_grams(f"#{w}#")) | {f"~{g}" for g in _skipped(w)} | {f"^{w[:k]}" for k in (3, 4) if len(w) >= k}
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def value_grams(value: pd.Series) -> pd.Series:
+    return value.map(lambda v: sorted(features(v or "")))
 
 
 def allowed(n: int) -> int:
@@ -110,12 +121,15 @@ def same_spelling(value: str, form: str) -> bool:
     return spelling_gap(readings(value), words(form)) is not None
 
 
-@F.pandas_udf(T.IntegerType())
-def spelling_distance(value: pd.Series, form: pd.Series) -> pd.Series:
-    """Null where the check of the spelling fails."""
+@F.pandas_udf(T.BooleanType())
+def _spelled(value: pd.Series, form: pd.Series) -> pd.Series:
     tries = {v: readings(v) for v in value.unique()}
     forms = {f: words(f) for f in form.unique()}
-    return pd.Series([spelling_gap(tries[v], forms[f]) for v, f in zip(value, form, strict=True)], dtype="Int32")
+    return pd.Series([spelling_gap(tries[v], forms[f]) is not None for v, f in zip(value, form, strict=True)], dtype="bool")
+
+
+#: Not deterministic for the planner, which would else pull the check below the exchange and run it twice.
+spelled_alike = _spelled.asNondeterministic()
 
 
 def list_forms(reference: DataFrame, field: str = "field_name", code: str = "code", label: str = "label", others: str = "also_known") -> DataFrame:
@@ -132,9 +146,10 @@ def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHO
     forms = materialize(forms.withColumn("grams", value_grams("form")))
     index = forms.select("field_name", "code", "form", F.explode("grams").alias("gram"))
     n = forms.groupBy("field_name").agg(F.count(F.lit(1)).alias("n"))
+    # the square root keeps rare n-grams from outweighing all others
     weight = (
         index.groupBy("field_name", "gram").agg(F.count(F.lit(1)).alias("df")).join(n, "field_name")
-        .select("field_name", "gram", F.log(F.lit(1.0) + F.col("n") / F.col("df")).alias("w"))
+        .select("field_name", "gram", F.sqrt(F.log(F.lit(1.0) + F.col("n") / F.col("df"))).alias("w"))
     )
     weighted = index.join(weight, ["field_name", "gram"])
     norms = weighted.groupBy("field_name", "code", "form").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm_f"))
@@ -145,7 +160,7 @@ def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHO
     # grams the index doesn't know weigh as the rarest
     norm_v = (
         typed.join(weight, ["field_name", "gram"], "left").join(n, "field_name")
-        .groupBy("field_name", "value").agg(F.sqrt(F.sum(F.pow(F.coalesce("w", F.log(F.lit(1.0) + F.col("n"))), F.lit(2)))).alias("norm_v"))
+        .groupBy("field_name", "value").agg(F.sqrt(F.sum(F.pow(F.coalesce("w", F.sqrt(F.log(F.lit(1.0) + F.col("n")))), F.lit(2)))).alias("norm_v"))
     )
     scored = (
         typed.join(postings, ["field_name", "gram"])
@@ -155,15 +170,13 @@ def match_values(values: DataFrame, forms: DataFrame, threshold: float = THRESHO
         .filter(F.col("cosine") >= threshold)
         # few bytes, but each pair takes work: spread them as wide as any shuffle
         .repartition(int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value", "form")
-        .withColumn("distance", spelling_distance("value", "form"))
-        .filter("distance is not null")
+        .withColumn("alike", spelled_alike("value", "form"))
+        .filter("alike")
     )
-    entries = scored.groupBy("field_name", "value", "code").agg(F.min("distance").alias("distance"), F.max("cosine").alias("cosine"))
-    # entries of a value are few: no more than the list has
-    ranked = entries.groupBy("field_name", "value").agg(F.sort_array(F.collect_list(F.struct("distance", (-F.col("cosine")).alias("c"), "code"))).alias("r"))
-    first, second = F.get("r", F.lit(0)), F.get("r", F.lit(1))
-    clear = second.isNull() | (first["distance"] < second["distance"]) | (first["c"] + MARGIN <= second["c"])
-    chosen = ranked.filter(clear).select("field_name", "value", first["code"].alias("code"))
+    entries = materialize(scored.groupBy("field_name", "value", "code").agg(F.max("cosine").alias("cosine")))
+    best = entries.groupBy("field_name", "value").agg(F.max_by("code", F.struct("cosine", "code")).alias("code"), F.max("cosine").alias("top"))
+    rivals = entries.join(best.withColumnRenamed("code", "best"), ["field_name", "value"]).filter((F.col("code") != F.col("best")) & (F.col("cosine") > F.col("top") - MARGIN))
+    chosen = best.join(rivals.select("field_name", "value").distinct(), ["field_name", "value"], "left_anti").select("field_name", "value", "code")
     return values.join(chosen, ["field_name", "value"], "left").select("field_name", "value", F.coalesce("code", F.lit("unmatched")).alias("code"))
 
 
