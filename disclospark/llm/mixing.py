@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
+#: Offsets of buckets are broadcast up to this many; more are joined by a shuffle, which the running sums have made already.
+BROADCAST_BUCKETS = 100_000
+
 
 def plan_budgets(sizes: DataFrame, targets: DataFrame, total: int | None = None) -> DataFrame:
     """(source, target_share, share, max_repeats, available, budget): one row a listed source."""
@@ -56,11 +59,13 @@ def mix(counted: DataFrame, targets: DataFrame, key: str = "doc_id", seed: int =
     bucketed = rows.withColumn("bucket", (F.shiftrightunsigned("r", 64 - bits) if bits else F.lit(0)).cast("int")).withColumn("r", F.shiftleft("r", bits))
     # unsigned order of the rest of the key: move the sign
     bucketed = bucketed.withColumn("r", F.col("r").bitwiseXOR(F.lit(-(1 << 63))))
+    # offsets grow with the rows: a row a bucket of each source
+    few = (1 << bits) * (sizes.count() or 1) <= BROADCAST_BUCKETS
     sums = bucketed.groupBy("source", "bucket").agg(F.sum("n_tokens").alias("t"))
     offsets = sums.withColumn("before", F.coalesce(F.sum("t").over(W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("t")
     inside = F.sum("n_tokens").over(W.partitionBy("source", "bucket").orderBy("r", key).rowsBetween(W.unboundedPreceding, 0))
     running = (
-        bucketed.withColumn("upto", inside).join(F.broadcast(offsets), ["source", "bucket"])
+        bucketed.withColumn("upto", inside).join(F.broadcast(offsets) if few else offsets, ["source", "bucket"])
         .join(F.broadcast(plan.select("source", "available", "budget", "max_repeats")), "source")
         .withColumn("upto", F.col("upto") + F.col("before"))
     )

@@ -11,9 +11,9 @@ from ..operators.timestamps import local_day, normalize_times
 from ..session import materialize, read_table
 from .canonical import map_fields
 from .history_dedup import HistoryStore, amount_ends, asset_texts, if_small, prepare, repeated_rows, with_content
-from .lookalikes import canonical_texts, same_looking
+from .lookalikes import canonical_texts, form_classes, same_looking
 from .mixing import mix
-from .names import attribute, member_spelling
+from .names import attribute, if_few, member_spelling
 from .tokenizer import count_tokens, encode_texts
 
 
@@ -88,7 +88,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c in parts:
         same = same & F.col(f"m.{c}").eqNullSafe(F.col(f"f.{c}"))
     members = read_table(spark, sf_dir, "raw_members").select("member_row", *parts).alias("m")
-    rewritten = members.join(F.broadcast(register.select(*parts)).alias("f"), same, "left_anti").select(
+    rewritten = members.join(if_few(register.select(*parts)).alias("f"), same, "left_anti").select(
         F.lit("raw_members").alias("source_table"), F.col("member_row").alias("row_id"), member_spelling().alias("spelling")
     )
     exact = register.select(F.col("full_name").alias("spelling"))
@@ -124,7 +124,12 @@ def p10_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical_texts(read_table(spark, sf_dir, "documents"), "text", ["doc_id"]).select("doc_id", "form")
 
 
+def p10_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document whose form several texts have, with the class it belongs to."""
+    return form_classes(read_table(spark, sf_dir, "documents")).select("doc_id", "representative")
+
+
 QUERIES = {
     "p1_found": p1_found, "p4_found": p4_found, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
-    "p10_found": p10_found, "p10_forms": p10_forms,
+    "p10_found": p10_found, "p10_forms": p10_forms, "p10_classes": p10_classes,
 }

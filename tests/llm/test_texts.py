@@ -150,6 +150,41 @@ def test_form_of_a_form_and_of_pieces(form):
     assert form("é" * 200_000) == "é" * 200_000
 
 
+KEPT = ["хорошо", "сосна и рама", "Ελληνικά το νερό", "Привет, мир: а он", "日本語 ｶ".replace("ｶ", "カ"), "ünïcödé", "он и она о том"]
+CLEANED = [("РЕRІОD", "PERIOD"), ("хорoшо", "хорошо"), ("naїve", "naïve"), ("РЕР", "PEP"), ("Ｐrice оf ɡold", "Price of gold"), ("νiew", "view"), ("Мocква и рамa", "Мосkва и рама".replace("k", "к")), ("a\u200bb x\u2010y", "ab x-y")]
+
+
+def test_texts_of_other_scripts_keep_their_letters():
+    clean = L.cleaner(*L.tables())
+    for t in KEPT:
+        assert clean(t) == t, t
+    for t, want in CLEANED:
+        assert clean(t) == want, (t, clean(t))
+        assert clean(want) == want
+    assert clean(None) is None and clean("") == ""
+    form = L.canonicaliser(*L.tables())
+    rng = random.Random(5)
+    for _ in range(2000):
+        s = "".join(rng.choice("ab xоеѕ дш λό é\u0301Ａﬁ\u200b-‐") for _ in range(rng.randint(0, 14)))
+        assert form(clean(s)) == form(s)
+        assert clean(clean(s)) == clean(s), s
+
+
+def test_classes(spark):
+    rows = [(1, "РЕR one"), (2, "PER one"), (3, "PER one"), (4, "alone"), (5, "alone"), (6, None), (9, "ＰER one")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {(r["doc_id"], r["representative"]) for r in L.form_classes(df).collect()} == {(1, 1), (2, 1), (3, 1), (9, 1)}
+    many = spark.range(400).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "РЕR").otherwise("PER").alias("text"))
+    assert L.same_looking(many).count() == 200 * 200
+
+
+def test_offsets_beyond_the_broadcast(spark, monkeypatch):
+    t = targets(spark, ("big", 0.5, 1), ("mid", 0.5, 2))
+    want = {tuple(r) for r in M.mix(counted(spark), t, rows_per_bucket=100)[0].collect()}
+    monkeypatch.setattr(M, "BROADCAST_BUCKETS", 0)
+    assert {tuple(r) for r in M.mix(counted(spark), t, rows_per_bucket=100)[0].collect()} == want
+
+
 def test_pairs(spark):
     rows = [(1, "РЕR one"), (2, "PER one"), (3, "PER one"), (4, "per one"), (5, None), (6, ""), (7, " "), (8, "\xa0"), (9, "ＰER one"), (10, "alone é"), (11, "alone é"), (12, "twin"), (13, "twin")]
     df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, form string")
