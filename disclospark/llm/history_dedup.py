@@ -37,6 +37,7 @@ from ..session import materialize, path_exists, shared_dir, write_text
 from .names import edits
 
 BLOOM_HASHES = 6
+ROOT = "struct<batch:int,seq:long,content:long>"
 #: Tables of distinct texts and the positives of a batch are broadcast up to this many rows (each under 300 bytes); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -196,16 +197,16 @@ def with_content(df: DataFrame, texts: DataFrame, person: str, day: str, low: st
 
 
 def prepare(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Contents of all batches with their fingerprints, written by batch: batch, content, text_id, seq, rows, fps.
+    """Contents of all batches with their texts and fingerprints, written by batch: batch, content, text, seq, rows, fps.
 
     `rows`: batch, salt, text_id, content, seq (long, order in the batch). Equal contents of a batch are aggregated on numbers alone, map-side
     first, before anything is fingerprinted. `rows` counts them.
     """
     contents = rows.groupBy("batch", "salt", "text_id", "content").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("rows"))
-    grams = texts.groupBy("text_id").agg(F.first("grams").alias("grams"))
+    grams = texts.select("text_id", "text", "grams").dropDuplicates(["text_id"])
     salted = F.transform(F.col("grams"), lambda g: F.xxhash64("salt", g))
     joined = contents.join(if_small(grams), "text_id").withColumn("fps", F.array_append(salted, F.col("content")))
-    return materialize(joined.select("batch", "content", "text_id", "seq", "rows", "fps"), ("batch",))
+    return materialize(joined.select("batch", "content", "text", "seq", "rows", "fps"), ("batch",))
 
 
 # filters
@@ -247,7 +248,7 @@ class HistoryStore:
     by another process too, goes on behind the last one.
     """
 
-    DECIDED = "batch int, content long, text_id long, seq long, rows long, root struct<batch:int,seq:long,content:long>, fresh boolean"
+    DECIDED = "batch int, content long, text string, seq long, rows long, root struct<batch:int,seq:long,content:long>, fresh boolean"
     PRINTS = "part int, fp long, content long"
     ROLLED = "part int, bits binary, fp long, content long"
 
@@ -309,76 +310,82 @@ class HistoryStore:
         """Fill the empty store with contents that are accepted as they stand."""
         step = self._next()
         self._screen(contents, step)
-        self._append(contents, contents.select(F.col("batch").cast("int").alias("batch"), "content", "text_id", "seq", "rows", self._own_root(), F.lit(True).alias("fresh")), step)
+        self._append(contents, contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq", "rows", self._own_root(), F.lit(True).alias("fresh")), step)
 
-    def check(self, contents: DataFrame, texts: DataFrame) -> DataFrame:
-        """The batch's contents, decided. `texts`: text_id, text, one row an id, of all contents so far."""
+    def check(self, contents: DataFrame) -> DataFrame:
+        """The batch's contents, decided."""
         step = self._next()
         positives, parts, n = self._screen(contents, step)
-        base = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text_id", "seq", "rows", self._own_root())
+        base = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq", "rows", self._own_root())
         if not n:
             return self._append(contents, base.withColumn("fresh", F.lit(True)), step)
         hits = F.broadcast(positives) if n <= BROADCAST_ROWS else positives
-        mine = contents.select("content", "text_id", "seq")
-        no_root = F.lit(None).cast("struct<batch:int,seq:long,content:long>")
+        mine = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq")
+        others = mine.select(F.col("content").alias("other"), F.col("text").alias("other_text"), F.col("seq").alias("other_seq"))
         before = (F.col("other_seq") < F.col("seq")) | (F.col("other_seq") == F.col("seq")) & (F.col("other") < F.col("content"))
-        tried = (
-            hits.join(positives.select("part", "fp", F.col("content").alias("other")), ["part", "fp"]).filter("content != other").select("content", "other").distinct()
-            .join(mine, "content").join(mine.select(F.col("content").alias("other"), F.col("text_id").alias("other_text"), F.col("seq").alias("other_seq")), "other")
-            .filter(before).select("content", "other", "text_id", "other_text", no_root.alias("root"))
-        )
+        sides = ("batch", "content", "seq", "text", "other", "other_text", "root", "inside")
+        here = positives.select("part", "fp", F.col("content").alias("other")).join(hits, ["part", "fp"]).filter("content != other").select("content", "other").distinct()
+        tried = here.join(mine, "content").join(others, "other").filter(before).withColumns({"root": F.struct("batch", F.col("other_seq").alias("seq"), F.col("other").alias("content")), "inside": F.lit(True)}).select(*sides)
         if self.steps:
             # candidates of the store, with what they repeat themselves
             there = self._prints(parts).select("part", "fp", F.col("content").alias("other")).join(hits, ["part", "fp"]).select("content", "other").distinct()
-            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text_id").alias("other_text"), "root")
-            tried = tried.unionByName(there.join(then, "other").join(mine.drop("seq"), "content").select("content", "other", "text_id", "other_text", "root"))
-        texts_of = lambda c, t: texts.select(F.col("text_id").alias(c), F.col("text").alias(t))
-        linked = Observation()
-        alike = tried.join(texts_of("text_id", "a"), "text_id").join(texts_of("other_text", "b"), "other_text").filter(agree("a", "b")).select("content", "other", "root")
-        alike = materialize(alike.observe(linked, F.count_if(F.col("root").isNull()).alias("n")))
-        # an equal content of the store settles it
-        same = F.min(F.when(F.col("content") == F.col("other"), F.col("root"))).alias("same")
-        roots = alike.filter("root is not null").groupBy("content").agg(same, F.min("root").alias("least"))
-        settled = base.join(roots, "content", "left").select(
-            "batch", "content", "text_id", "seq", "rows", F.coalesce("same", "least", "root").alias("root"), F.col("same").isNull().alias("fresh")
+            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root")
+            tried = tried.unionByName(there.join(then, "other").join(mine, "content").withColumn("inside", F.lit(False)).select(*sides))
+        found = Observation()
+        alike = tried.filter((F.col("content") == F.col("other")) | agree("text", "other_text")).select("batch", "content", "seq", "other", "root", "inside")
+        alike = materialize(alike.observe(found, F.count(F.lit(1)).alias("n")))
+        few = int(found.get["n"] or 0) <= BROADCAST_ROWS
+        roots = (_settle_few if few else _settle_many)(alike)
+        settled = base.join(F.broadcast(roots) if few else roots, "content", "left").select(
+            "batch", "content", "text", "seq", "rows", F.coalesce("r", "root").alias("root"), F.coalesce("is_new", F.lit(True)).alias("fresh")
         )
-        inside = int(linked.get["n"] or 0)
-        if inside:
-            settled = _settle(settled, alike.filter("root is null").select("content", "other"), inside)
         return self._append(contents, settled, step)
 
 
-def _carry(_: tuple, roots: pd.DataFrame, edges: pd.DataFrame) -> pd.DataFrame:
-    """Roots carried along links until none moves, all in one task."""
-    at = {c: (r["batch"], r["seq"], r["content"]) for c, r in zip(roots["content"], roots["root"], strict=True)}
-    fixed = set(roots.loc[~roots["fresh"], "content"])
-    links = [(c, o) for c, o in zip(edges["content"], edges["other"], strict=True) if c not in fixed]
+def _carry(alike: pd.DataFrame) -> pd.DataFrame:
+    """Roots of the linked contents of a batch, carried along the links inside it until none moves."""
+    place = lambda r: (int(r["batch"]), int(r["seq"]), int(r["content"]))
+    at, known = {}, {}
+    for batch, content, seq, other, root, inside in zip(*(alike[c] for c in ("batch", "content", "seq", "other", "root", "inside")), strict=True):
+        own = at.setdefault(content, (batch, seq, content))
+        if inside:
+            at.setdefault(other, place(root))
+        elif content == other:  # an equal content of the store settles it
+            known[content] = place(root)
+        else:
+            at[content] = min(own, place(root))
+    at |= known
+    links = [(c, o) for c, o, inside in zip(alike["content"], alike["other"], alike["inside"], strict=True) if inside and c not in known]
     moved = True
     while moved:
         moved = False
         for c, o in links:
             if at[o] < at[c]:
                 at[c], moved = at[o], True
-    return pd.DataFrame([(c, *r) for c, r in at.items()], columns=["content", "b", "s", "c"])
-
-
-def _settle(decided: DataFrame, edges: DataFrame, n: int) -> DataFrame:
-    """Roots carried along the `n` links (content, other) inside a batch. Only linked contents take part: few of them in one task, more by joins, pass after pass."""
-    ends = edges.select("content").union(edges.select("other")).distinct()
-    linked = decided.select("content", "root", "fresh").join(ends, "content", "left_semi")
-    if n <= BROADCAST_ROWS:
-        one = lambda df: df.withColumn("all", F.lit(1)).groupBy("all")
-        carried = one(linked).cogroup(one(edges)).applyInPandas(_carry, "content long, b int, s long, c long")
-        carried = carried.select("content", F.struct(F.col("b").alias("batch"), F.col("s").alias("seq"), F.col("c").alias("content")).alias("r"))
-    else:
-        edges = edges.join(linked.filter("fresh").select("content"), "content", "left_semi")
-        carried = materialize(linked.select("content", F.col("root").alias("r"), F.lit(True).alias("moved")))
-        while not carried.filter("moved").isEmpty():
-            last = carried.select("content", F.col("r").alias("last"))
-            theirs = edges.join(last.withColumnRenamed("content", "other"), "other").groupBy("content").agg(F.min("last").alias("theirs"))
-            carried = materialize(last.join(theirs, "content", "left").select("content", F.least("last", "theirs").alias("r"), (F.col("theirs") < F.col("last")).alias("moved")))
-        carried = carried.select("content", "r")
-    return decided.join(carried, "content", "left").withColumn("root", F.coalesce("r", "root")).drop("r")
+    frame = pd.DataFrame([(c, *r, c not in known) for c, r in at.items()], columns=["content", "b", "s", "c", "is_new"])
+    return frame.astype({"content": "int64", "b": "int32", "s": "int64", "c": "int64", "is_new": "bool"})
+
+
+def _settle_few(alike: DataFrame) -> DataFrame:
+    """(content, r, is_new) of linked contents, in one task: for as many links as may be broadcast."""
+    carried = alike.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_carry, "content long, b int, s long, c long, is_new boolean")
+    return carried.select("content", F.struct(F.col("b").alias("batch"), F.col("s").alias("seq"), F.col("c").alias("content")).alias("r"), "is_new")
+
+
+def _settle_many(alike: DataFrame) -> DataFrame:
+    """The same by joins, pass after pass."""
+    own = lambda c, s: F.struct("batch", F.col(s).alias("seq"), F.col(c).alias("content"))
+    inside = alike.filter("inside")
+    places = alike.select("content", own("content", "seq").alias("r"), F.lit(None).cast(ROOT).alias("same"))
+    places = places.unionByName(inside.select(F.col("other").alias("content"), F.col("root").alias("r"), F.lit(None).cast(ROOT).alias("same")))
+    stored = alike.filter("not inside").select("content", F.col("root").alias("r"), F.when(F.col("content") == F.col("other"), F.col("root")).alias("same"))
+    start = places.unionByName(stored).groupBy("content").agg(F.min("r").alias("r"), F.min("same").alias("same"))
+    carried = materialize(start.select("content", F.coalesce("same", "r").alias("r"), F.col("same").isNull().alias("is_new"), F.lit(True).alias("moved")))
+    edges = materialize(inside.select("content", "other").join(carried.filter("is_new").select("content"), "content", "left_semi"))
+    while not carried.filter("moved").isEmpty():
+        theirs = edges.join(carried.select(F.col("content").alias("other"), F.col("r").alias("theirs")), "other").groupBy("content").agg(F.min("theirs").alias("theirs"))
+        carried = materialize(carried.drop("moved").join(theirs, "content", "left").select("content", F.least("r", "theirs").alias("r"), "is_new", F.coalesce(F.col("theirs") < F.col("r"), F.lit(False)).alias("moved")))
+    return carried.drop("moved")
 
 
 def repeated_rows(rows: DataFrame, decided: DataFrame) -> DataFrame:

@@ -64,10 +64,9 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     # a catalogue of deliveries: one small row a batch
     sizes = {r["batch"]: r["n"] for r in contents.groupBy("batch").agg(F.sum(F.size("fps")).alias("n")).collect()}
     store = HistoryStore(spark, parts=max(4, -(-sum(sizes.values()) * 10 // (1 << 22))))
-    names = if_small(materialize(texts.groupBy("text_id").agg(F.first("text").alias("text"))))
     for no in sorted(sizes):
         batch = contents.filter(F.col("batch") == no)
-        store.seed(batch) if no == ACCEPTED else store.check(batch, names)
+        store.seed(batch) if no == ACCEPTED else store.check(batch)
     if not sizes:
         return spark.createDataFrame([], "row_id long, original string")
     return repeated_rows(rows, store.decided().filter(F.col("batch") != ACCEPTED))

@@ -58,7 +58,7 @@ def run(spark, rows, texts, cuts, reopen=False):
     made = H.prepare(rows, rows.select("text_id").distinct().join(texts, "text_id").withColumn("grams", H.winnowed("text")))
     store = H.HistoryStore(spark, parts=3, bits=1 << 12)
     for no in sorted(set(cuts.values())):
-        store.check(made.filter(F.col("batch") == no), texts)
+        store.check(made.filter(F.col("batch") == no))
         if reopen:
             store = H.HistoryStore(spark, store.path)
             assert (store.parts, store.bits) == (3, 1 << 12)
@@ -124,11 +124,11 @@ def test_seeded_store_and_empty_batches(spark):
     made = H.prepare(rows.withColumn("batch", F.lit(1)), texts.withColumn("grams", H.winnowed("text")))
     store = H.HistoryStore(spark, parts=2, bits=1 << 10)
     store.seed(made)
-    again = store.check(made.withColumn("batch", F.lit(2)), texts)
+    again = store.check(made.withColumn("batch", F.lit(2)))
     assert again.filter("fresh").count() == 0
     assert again.filter("root.batch = 1").count() == made.count()
-    assert store.check(made.limit(0), texts).count() == 0
-    assert store.check(made.limit(0), texts).count() == 0
+    assert store.check(made.limit(0)).count() == 0
+    assert store.check(made.limit(0)).count() == 0
 
 
 def test_an_asset_without_words(spark):
