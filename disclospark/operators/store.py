@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.identity import stable_id
 from ..functions.text import ascii_lower
 from ..schemas import TRANSACTION
+from ..session import materialize, path_exists
 
 
 @dataclass(frozen=True)
@@ -100,15 +102,17 @@ class ParquetStore:
         self.spark, self.path = spark, path
 
     def _exists(self) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+        return path_exists(self.spark, self.path)
 
     def create_table(self, name: str) -> None:
         """An external catalogue table over the store, if there is none of that name."""
         columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRANSACTION.fields)
         self.spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}, trade_year int) USING parquet PARTITIONED BY (trade_year) LOCATION '{self.path}'")
 
+    @staticmethod
+    def _stored() -> T.StructType:
+        return T.StructType([*TRANSACTION.fields, T.StructField("trade_year", T.IntegerType())])
+
     def read(self) -> DataFrame:
         """Stored rows with the read-back defaults for nulls; empty before the first save."""
         if not self._exists():
@@ -126,12 +130,17 @@ class ParquetStore:
         """Number of rows really inserted. Rows with a null in a required column are ignored, as are known ids."""
         needed = ("politician", "transaction_date", "filing_date", "asset_name", "type")
         sound = rows.dropna(subset=list(needed))
-        fresh = insert_or_ignore(sound, self.read(), *order) if self.unique else sound
+        if self.unique and self._exists():
+            # an id holds its trade date: only the years of the batch are looked up; the batch is made once for both
+            sound = materialize(sound)
+            years = [r[0] for r in sound.select(F.year("transaction_date")).distinct().collect()]
+            stored = self.spark.read.schema(self._stored()).parquet(self.path).filter(F.col("trade_year").isin(years))
+            fresh = insert_or_ignore(sound, stored, *order)
+        else:
+            fresh = first_by_id(sound, *order) if self.unique else sound
         out = fresh.withColumn("inserted_at", F.current_timestamp()).select(*TRANSACTION.names)
         out = out.withColumn("trade_year", F.year("transaction_date"))
         seen = F.count(F.lit(1)).alias("n")
-        from pyspark.sql import Observation
-
         o = Observation()
         out.observe(o, seen).write.mode("append").partitionBy("trade_year").parquet(self.path)
         return int(o.get["n"] or 0)

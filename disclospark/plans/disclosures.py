@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import normalize as N
 from ..functions import text as X
 from ..functions.identity import dedup_key, stable_id
-from ..operators import analytics, serve, store
+from .. import sources
+from ..operators import analytics, pipeline, serve, store
 from ..operators.pipeline import statistics
 from ..schemas import MEMBER_XML, RAW_FIELDS, RAW_TRANSACTION
 from ..session import read_table, shared_dir
@@ -154,7 +155,10 @@ def filter_politician_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_ticker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _filtered(_accepted(spark, sf_dir), store.QueryFilters(ticker="nofy")).select("id", "ticker")
+    """Trades of the ticker traded most, asked for in lower case."""
+    t = _accepted(spark, sf_dir)
+    most = t.filter("ticker is not null").groupBy("ticker").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "ticker").first()
+    return _filtered(t, store.QueryFilters(ticker=(most["ticker"] if most else "none").lower())).select("id", "ticker")
 
 
 @query
@@ -235,7 +239,8 @@ def union_chambers(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _raw(spark, sf_dir)
     house = raw.filter(F.col("feed") == "house_ptr").withColumn("chamber", F.lit("house"))
     senate = raw.filter(F.col("feed").startswith("senate")).withColumn("chamber", F.lit("senate"))
-    return house.unionByName(senate).groupBy("chamber").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("politician").alias("filers"))
+    archive = raw.filter(~F.col("feed").startswith("senate") & (F.col("feed") != "house_ptr")).withColumn("chamber", F.lit("archive"))
+    return house.unionByName(senate).unionByName(archive).groupBy("chamber").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("politician").alias("filers"))
 
 
 @query
@@ -426,18 +431,112 @@ def xml_index_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ptr_text_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Report texts built of the accepted trades, glued as PDF extraction glues them, read back.
-
-    Only of trades with a ticker, and with an open range closed at its lower end, as its SQL has them; the parser reads the others too.
-    """
-    t = _accepted(spark, sf_dir).filter("ticker is not null")
+    """Report texts built of all accepted trades, with and without ticker, glued as PDF extraction glues them, read back."""
+    t = _accepted(spark, sf_dir)
     us = lambda c: F.date_format(c, "MM/dd/yyyy")
-    money = F.concat(F.lit("$"), F.format_number("amount_min", 0), F.lit(" - $"), F.format_number(F.coalesce("amount_max", "amount_min"), 0))
-    text = F.concat(F.lit("SP "), F.col("asset_name"), F.lit("\x00 ("), F.col("ticker"), F.lit(") [ST] P "), us("transaction_date"), us("filing_date"), money)
+    dollars = lambda c: F.concat(F.lit("$"), F.format_number(c, 0))
+    money = F.when(F.col("amount_max").isNull(), F.concat(F.lit("Over "), dollars("amount_min"))).otherwise(F.concat(dollars("amount_min"), F.lit(" - "), dollars("amount_max")))
+    marker = F.coalesce(F.concat(F.lit("("), F.col("ticker"), F.lit(") ")), F.lit(""))
+    text = F.concat(F.lit("SP "), F.col("asset_name"), F.lit("\x00 "), marker, F.lit("[ST] P "), us("transaction_date"), us("filing_date"), money)
     docs = t.select(F.col("politician").alias("member"), F.col("filing_date").alias("filingDate"), F.col("id").alias("docId"), text.alias("text"))
     return ptr_text.parse_ptr_text(docs).drop("raw_json", "filing_date")
 
 
+@query
+def source_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads of both kinds and of an unknown one through the one entry point."""
+    raw = _raw(spark, sf_dir).select(F.coalesce("politician", F.lit("")).alias("p"))
+    hits = raw.select(F.to_json(F.array(F.struct(F.struct(F.col("p").alias("senator_name")).alias("_source")))).alias("x"))
+    page = raw.select(F.concat(F.lit("<table><tr><th>Filer</th></tr><tr><td>"), _escaped("p"), F.lit("</td></tr></table>")).alias("x"))
+    parts = [sources.parse(df, kind, "x").select(F.lit(kind).alias("kind"), "politician") for df, kind in ((hits, "json"), (page, "html"), (hits, "other"))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def html_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No row has an asset name, so the page kept in each payload is read again."""
+    page = F.concat(F.lit("<table><tr><th>Filer</th><th>Asset</th></tr><tr><td>x</td><td>"), _escaped("asset_name"), F.lit("</td></tr></table>"))
+    raw = _raw(spark, sf_dir).select(F.lit(" ").alias("asset_name"), F.to_json(F.struct(page.alias("html"))).alias("raw_json"))
+    return html.parse_with_fallback(raw).groupBy("asset_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def run_partial_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors over a quarter, or a listing that was itself cut off (here: a user without a purchase)."""
+    e = read_table(spark, sf_dir, "events")
+    errors, n = F.count_if(F.col("event_type") == "error"), F.count(F.lit(1))
+    cut = F.count_if(F.col("event_type") == "purchase") == 0
+    return e.groupBy("user_id").agg(listing.run_is_partial(errors, n, cut).alias("partial"))
+
+
+# runs and the served state
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> tuple[store.ParquetStore, DataFrame]:
+    return store.ParquetStore(spark, f"{shared_dir(spark)}/store"), _raw(spark, sf_dir).select(*RAW_FIELDS, "raw_json")
+
+
+@query
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three ticks: a run, the same again, and one that fails; the log has a line each."""
+    s, raw = _stored(spark, sf_dir)
+    path = f"{shared_dir(spark)}/log"
+
+    def broken() -> dict:
+        raise OSError("no source")
+
+    for run in (lambda: pipeline.run_pipeline(raw, s), lambda: pipeline.run_pipeline(raw, s), broken):
+        pipeline.tick(spark, run, path)
+    return spark.read.schema("ingested long, inserted long, skipped long, errors long, error string").json(path)
+
+
+@query
+def health_and_debug(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the service tells of a store after a refresh and a cron run, and through a catalogue table."""
+    s, raw = _stored(spark, sf_dir)
+    told, again = pipeline.refresh(lambda: pipeline.run_pipeline(raw, s), s), pipeline.cron(lambda: pipeline.run_pipeline(raw, s))
+    api = serve.Service(s)
+    health, debug = api.health(), api.debug()
+    name = f"trades_{s.path.rstrip('/').split('/')[-2]}"
+    s.create_table(name)
+    spark.catalog.recoverPartitions(name)
+    rows = spark.table(name).count()
+    spark.sql(f"DROP TABLE {name}")
+    fresh = told["lastUpdated"] is not None and health["last_run"] == api.last_updated()
+    row = (health["status"], health["db_count"], debug["rawCount"], debug["sourceCounts"]["congress"], rows, told["ok"] and again["ok"] and fresh, again["summary"]["inserted"])
+    return spark.createDataFrame([row], "status string, db_count long, raw_count long, congress long, table_rows long, ok boolean, inserted_again long")
+
+
+@query
+def parameter_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields refused of a request each, the first letters of real values among them."""
+    cases = [
+        {"type": "buy", "limit": "10"}, {"type": "swap"}, {"owner": "me", "limit": "0"}, {"limit": "1001", "offset": "-1"}, {"date_from": "4/9/2026", "date_to": "2026-04-09"},
+        {"limit": "x"}, {"politician": "%", "ticker": "a"}, {},
+    ]
+    rows = []
+    for i, case in enumerate(cases):
+        try:
+            serve.check_parameters(case)
+            rows.append((i, ""))
+        except serve.InvalidParameters as e:
+            rows.append((i, ",".join(sorted(e.errors))))
+    return spark.createDataFrame(rows, "case_no int, refused string")
+
+
+@query
+def configuration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Defaults, given settings, and settings refused."""
+    rows = []
+    for i, env in enumerate(({}, {"FETCH_DAYS_BACK": "7", "LOG_LEVEL": "warn", "DB_PATH": "/x"}, {"FETCH_DAYS_BACK": "0"}, {"FETCH_DAYS_BACK": "366"}, {"LOG_LEVEL": "loud"})):
+        try:
+            c = pipeline.Config.load(env)
+            rows.append((i, c.fetch_days_back, c.cron_schedule, c.log_level, c.store_path))
+        except ValueError:
+            rows.append((i, None, None, None, None))
+    return spark.createDataFrame(rows, "case_no int, days int, schedule string, level string, store string")
+
+
 # summaries
 
 

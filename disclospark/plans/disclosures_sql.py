@@ -112,7 +112,17 @@ ORACLE = {
  case when amount_min > amount_max then 'amount_min exceeds amount_max' end, case when type is null then 'invalid type' end) as errors from n""",
     "filter_politician_like": _NORMAL + "select row_id, politician from k where translate(politician, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') like '%ursula%gryvé%'",
     "filter_politician_contains": _NORMAL + "select row_id, politician from k where contains(lower(politician), 'gryvél')",
-    "filter_ticker": "select id, ticker from transactions where ticker = 'NOFY'",
+    "filter_ticker": """select id, ticker from transactions where ticker = (select ticker from transactions where ticker is not null group by 1
+ order by count(*) desc, ticker limit 1)""",
+    "source_dispatch": f"select 'json' as kind, count(*) as n from raw_transactions union all select 'html', count(*) from raw_transactions where {_CELL['politician']} <> ''",
+    "html_fallback": f"select {_CELL['asset_name']} as asset_name, count(*) as n from raw_transactions group by 1",
+    "run_partial_rule": """select user_id, count(*) filter (event_type = 'error') * 4 > count(*) or count(*) filter (event_type = 'purchase') = 0 as partial from events group by 1""",
+    "run_log": _FIRST + """, c as (select (select count(*) from n) as ingested, (select count(*) from u where rn = 1) as inserted, (select count(*) from n where skip_reason is not null) as skipped)
+ select ingested, inserted, skipped, 0 as errors, cast(null as varchar) as error from c union all select ingested, 0, skipped, 0, null from c union all select 0, 0, 0, 1, 'no source'""",
+    "health_and_debug": _FIRST + """select 'ok' as status, count(*) as db_count, count(*) as raw_count, count(*) as congress, count(*) as table_rows, true as ok, 0 as inserted_again from u where rn = 1""",
+    "parameter_checks": """select * from (values (0, ''), (1, 'type'), (2, 'limit,owner'), (3, 'limit,offset'), (4, 'date_from'), (5, 'limit'), (6, ''), (7, '')) t(case_no, refused)""",
+    "configuration": """select * from (values (0, 90, '0 */6 * * *', 'info', './data/transactions'), (1, 7, '0 */6 * * *', 'warn', '/x'), (2, null, null, null, null), (3, null, null, null, null),
+ (4, null, null, null, null)) t(case_no, days, schedule, level, store)""",
     "filter_type_owner": "select id, type, owner from transactions where type = 'buy' and owner = 'joint'",
     "filter_date_range": "select id, transaction_date from transactions where transaction_date between date '2018-01-01' and date '2019-12-31'",
     "conjunction_page": _FIRST
@@ -127,8 +137,8 @@ ORACLE = {
     "source_id_antifilter": """select row_id, source_id from raw_transactions a where batch_no > 6 and not exists
  (select 1 from raw_transactions b where b.batch_no <= 6 and a.source_id = b.source_id)""",
     "union_pages": "select feed, count(*) as n, cast(sum(row_id) as bigint) as ids from raw_transactions group by feed",
-    "union_chambers": """select case when feed = 'house_ptr' then 'house' else 'senate' end as chamber, count(*) as n, count(distinct politician) as filers
- from raw_transactions where feed = 'house_ptr' or feed like 'senate%' group by 1""",
+    "union_chambers": """select case when feed = 'house_ptr' then 'house' when feed like 'senate%' then 'senate' else 'archive' end as chamber, count(*) as n,
+ count(distinct politician) as filers from raw_transactions group by 1""",
     "append_sink": _NORMAL + "select type, 2 * count(*) as n from k group by 1",
     "unique_sink": _FIRST
     + "select id, politician, transaction_date, filing_date, ticker, asset_name, coalesce(asset_type, '') as asset_type, type, amount_min, amount_max, owner from u where rn = 1",
@@ -161,8 +171,8 @@ select *, {_squeeze("politician || '|' || transaction_date || '|' || asset_name
  nullif(trim(docid), '') as "docId", try_cast(year as int) as year from raw_members where filingtype = 'P')
 select * from m where member <> '' and "docId" is not null and "filingDate" between date '2023-01-01' and date '2024-12-31'""",
     "ptr_text_parse": """select politician, strftime(transaction_date, '%m/%d/%Y') as transaction_date, ticker, asset_name, 'ST' as asset_type, 'Purchase' as type,
- '$' || format('{:,}', amount_min) || ' - $' || format('{:,}', coalesce(amount_max, amount_min)) as amount, 'Spouse' as owner, id || '|0' as source_id
- from transactions where ticker is not null""",
+ case when amount_max is null then 'Over $' || format('{:,}', amount_min) else '$' || format('{:,}', amount_min) || ' - $' || format('{:,}', amount_max) end as amount,
+ 'Spouse' as owner, id || '|0' as source_id from transactions""",
     "volume_last_30d": "select cast(ts as date) as date, count(*) as count from events where cast(ts as date) > (select max(cast(ts as date)) - 30 from events) group by 1",
     "filer_leaderboard": """select politician, count(*) as total_trades, count(*) filter (type = 'buy') as buys, round(count(*) filter (type = 'buy') / count(*), 6) as buy_share,
  cast(sum(amount_min) as bigint) as amount_low_sum, max(transaction_date) as last_trade from transactions group by 1 order by 2 desc, 1 limit 25""",

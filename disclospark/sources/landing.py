@@ -61,7 +61,7 @@ class _Reader(DataSourceReader):
         try:
             page = with_retry(load, int(self.options.get("retries", "0")))
         except Exception as e:
-            yield partition.path, None, str(e)[:500]
+            yield partition.path, None, str(e)
             return
         for cells in page.get("data") or []:
             yield partition.path, [None if c is None else str(c) for c in cells], None

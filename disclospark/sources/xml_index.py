@@ -42,6 +42,12 @@ def members_of(df: DataFrame, column: str = "xml") -> DataFrame:
     return df.select(F.from_xml(F.col(column), MEMBER_XML.simpleString()).alias("m")).select("m.*")
 
 
+def archive_members(spark: SparkSession, path: str) -> DataFrame:
+    """Member elements of all yearly archives below `path`: unpacked, cut into fragments and read in one flow."""
+    fragments = F.regexp_extract_all("xml", F.lit(r"(?s)<Member>.*?</Member>"), F.lit(0))
+    return members_of(read_archives(spark, path).select(F.explode(fragments).alias("xml")))
+
+
 def periodic_filings(members: DataFrame, first_day: Column | str, last_day: Column | str) -> DataFrame:
     """member, filingDate, filingDateRaw, docId, year of the periodic reports filed in a window (both ends count)."""
     to_date = lambda d: F.to_date(F.lit(d)) if isinstance(d, str) else d

@@ -97,6 +97,8 @@ def test_archive(spark, tmp_path):
     (tmp_path / "2026FD.zip").write_bytes(buffer.getvalue())
     got = xml_index.read_archives(spark, str(tmp_path)).collect()
     assert [(r["name"], r["xml"]) for r in got] == [("2026FD.xml", xml)]
+    flow = xml_index.periodic_filings(xml_index.archive_members(spark, str(tmp_path)), "2026-01-01", "2026-12-31").collect()
+    assert [(r["member"], r["docId"]) for r in flow] == [("Ann Lee Jr.", "0012")]
     (tmp_path / "x.xml").write_text(xml)
     out = xml_index.periodic_filings(xml_index.read_members(spark, str(tmp_path / "x.xml")), "2026-01-01", "2026-12-31").collect()
     assert [(r["member"], r["docId"], r["filingDate"]) for r in out] == [("Ann Lee Jr.", "0012", dt.date(2026, 1, 2))]
