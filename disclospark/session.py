@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +42,18 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
+@contextlib.contextmanager
+def short_plans(spark: SparkSession, length: int = 20_000) -> Iterator[None]:
+    """For loops of many steps: the driver keeps the plan text of every step, which would grow with their number."""
+    key = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(length))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def clear_intermediates(spark: SparkSession) -> None:
     """Delete every table this application wrote to cut lineage. To be called once no frame built before is needed any more."""
     fs, p = _hadoop_path(spark, shared_dir(spark).rpartition("/")[0])
