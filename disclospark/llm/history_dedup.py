@@ -276,7 +276,8 @@ class HistoryStore:
 
     def _prints(self, parts: list[int]) -> DataFrame:
         """Stored fingerprints of some parts. Files are sorted by part, so row groups of other parts are skipped."""
-        return self.spark.read.schema(self.PRINTS).parquet(*[self._at("prints", s) for s in self.steps]).filter(F.col("part").isin(parts))
+        found = self.spark.read.schema(self.PRINTS).parquet(*[self._at("prints", s) for s in self.steps])
+        return found if len(parts) == self.parts else found.filter(F.col("part").isin(parts))
 
     def _exploded(self, contents: DataFrame) -> DataFrame:
         return contents.select("content", F.explode("fps").alias("fp")).withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(self.parts)).cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import calendar_date
 from ..functions.text import is_blank
 from ..operators.timestamps import local_day, normalize_times
-from ..session import materialize, read_table
+from ..session import materialize, read_table, short_plans
 from .canonical import map_fields
 from .history_dedup import HistoryStore, amount_ends, asset_texts, if_small, prepare, repeated_rows, with_content
 from .lookalikes import canonical_texts, form_classes, same_looking
@@ -59,6 +59,11 @@ def trades(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch after batch against the accepted trades and the batches before."""
+    with short_plans(spark):
+        return _repeats(spark, sf_dir)
+
+
+def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, texts = trades(spark, sf_dir)
     contents = prepare(rows, texts)
     # a catalogue of deliveries: one small row a batch
