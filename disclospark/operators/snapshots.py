@@ -1,7 +1,7 @@
 """What changed between full snapshots: invertible Bloom lookup tables per hash bucket.
 
-Every record is a pair of 64-bit hashes (key, value); only these and the line number are shuffled, once, by bucket. A snapshot adds its pairs to the table of its own
-comparison and takes them from the table of the next one, so subtraction is one aggregate in place: records that two snapshots share cancel, and only cells
+Every record is a pair of 64-bit hashes (key, value); only these and the line number are shuffled, by bucket, and then the cells. A snapshot adds its pairs to the table of its own
+comparison and takes them from the table of the next one, so subtraction is one aggregate with map-side combine: records that two snapshots share cancel, and only cells
 that differ leave the aggregate. Each bucket is peeled by itself. A bucket that doesn't peel to nothing is built again with four times
 the cells, for its records only, until all are done. Recovered pairs are verified (no cell is left, and the sums of what was recovered equal
 the difference of counts), classified, and named by a look at the lines that have their key hash: one side only is added or removed, both is changed.
@@ -109,7 +109,7 @@ def snapshot_changes(
     if not top["n"]:
         return df.select(F.col(snapshot), F.col(key), F.lit("").alias("change_kind")).limit(0)
     buckets = max(1, -(-top["n"] // rows_per_bucket))
-    # the one shuffle of records, numbers only: what follows groups by the bucket and more, so it stays in place
+    # the one shuffle of records, numbers only
     placed = (
         lines.drop("key").join(F.broadcast(numbered.drop("n")), "snap")
         .select("pair_no", "h_key", "h_value", "line", F.pmod("h_key", F.lit(buckets)).cast("int").alias("bucket")).repartition("bucket")
