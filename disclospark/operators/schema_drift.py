@@ -10,7 +10,8 @@ the counts, a few numbers for each path of each file, reach the matcher, one gro
 
 Cases: null, malformed (a number that JSON doesn't know included) and non-object payloads hold no key, and payload_problems() counts them; of a repeated key the last value holds,
 and it is counted as well; an empty object holds no key; a file without keys lost them all; keys that are always null have no type and are never retyped; numbers of any
-size are one type; all members of nested objects and arrays are paths of their own (`key.member`, `key[0]`; `.`, `[` and `\\` of a name bear a backslash); empty input gives no rows.
+size are one type; all members of nested objects and arrays are paths of their own (`key.member`, `key[0]`; `.`, `[` and `\\` of a name bear a backslash); a null in the place of
+an object or array that bears columns is the null of these columns; empty input gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import functools
 import json
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -86,6 +87,11 @@ def leaves(path: str, v: object) -> Iterator[tuple[str, str | None, str | None]]
             yield at, _kind(x), None if x is None else ("true" if x else "false") if isinstance(x, bool) else str(x)
 
 
+def holders(paths: Iterable[str]) -> set[str]:
+    """The paths of all objects and arrays that these paths lie in."""
+    return {p[: m.start()] for p in paths for m in re.finditer(r"\\.|[.\[]", p) if m[0][0] != "\\"}
+
+
 def read_payload(text: str | None, decoder: json.JSONDecoder, repeated: list) -> tuple[dict | None, str | None]:
     """(object, problem): malformed and not_an_object come without an object, repeated_key with one."""
     if text is None:
@@ -377,14 +383,15 @@ def unified_table(df: DataFrame, payload: str, group: str, batch: str, row: str,
             cols: dict[str, list] = {c: [] for c in (*columns, "others")}
             for text, layout in zip(*(b.column(i).to_numpy(zero_copy_only=False).tolist() for i in (3, 4)), strict=True):
                 if layout not in known:
-                    known[layout] = json.loads(layout or "{}")
-                fields, got, rest = known[layout], {}, {}
+                    found = json.loads(layout or "{}")
+                    known[layout] = found, holders(found)
+                (fields, above), got, rest = known[layout], {}, {}
                 top, _ = read_payload(text, decoder, repeated)
                 for key, v in (top or {}).items():
                     for path, _, leaf in leaves(_name(key), v):
                         if path in fields:
                             got[fields[path]] = leaf
-                        else:
+                        elif leaf is not None or path not in above:
                             rest[path] = leaf
                 for c in columns:
                     cols[c].append(got.get(c))

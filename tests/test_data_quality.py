@@ -272,6 +272,14 @@ def test_all_members_of_nested_values_are_read(spark):
     assert rows[2]["others"] == "{}"
 
 
+def test_null_in_place_of_a_nested_value_that_bears_a_column(spark):
+    nested = lambda o: json.dumps({"when": {"tx.day": [o["transaction_date"]]}, "page": {"no": 3}})
+    df = drift_frame(spark, [(1, nested), (1, nested), (1, '{"when": null, "page": null}'), (1, '{"when": {"tx.day": null}, "page": {"no": null}}')])
+    rows = {r["row_id"]: r for r in unified_table(df, "raw_json", "feed", "batch_no", "row_id").collect()}
+    assert [rows[i]["transaction_date"] for i in range(4)] == ["transaction_date0", "transaction_date1", None, None]
+    assert [rows[i]["others"] for i in range(4)] == ['{"page.no":"3"}', '{"page.no":"3"}', '{"page":null}', '{"page.no":null}']
+
+
 def test_repeated_keys_and_broken_payloads(spark):
     df = drift_frame(spark, [(1, '{"who": "x", "n": 1, "who": "politician0"}'), (1, "no"), (1, "[1]"), (1, None), (1, '{"n": NaN}'), (1, "[" * 100_000)])
     rows = {r["row_id"]: r for r in unified_table(df, "raw_json", "feed", "batch_no", "row_id").collect()}
