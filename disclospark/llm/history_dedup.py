@@ -5,10 +5,11 @@ word of the asset that holds a digit); the other words of the asset, of any leng
 winnowed grams, each salted, and the hash of the whole content. The window grows with the text such that two typos always leave one gram that both
 spellings chose, so the prescreen loses nothing the verification would take.
 
-A batch goes through four steps, its own rows and history alike: (1) partitioned Bloom filters, one part of the fingerprints each, prescreen the batch's
-fingerprints and take them in; a fingerprint that two contents of the batch share is a positive too; (2) positives are looked up in the persistent
-fingerprint store, of which only the parts with positives are read; (3) candidates are verified: an equal content at once, others if they share all grams that
-two typos can spare and agree word by word; (4) new contents and their fingerprints are added to the store. History is never fingerprinted again. Asset names are normalised
+A batch goes through three steps, its own rows and history alike: (1) partitioned Bloom filters, one part of the fingerprints each, prescreen the batch's
+fingerprints and take them in, which are stored by part on the way; a fingerprint that two contents of the batch share is a positive too; (2) positives are looked up
+among themselves and in the persistent store, of which only the parts with positives are read, and candidates are verified: an equal content at once, others if they share
+all grams that two typos can spare and agree word by word; (3) the decided contents are added to the store. A step is one plan with few exchanges: the driver
+keeps a thread for each for a while. History is never fingerprinted again. Asset names are normalised
 and winnowed once for each distinct text, and equal contents of a batch are one row before any fingerprint is made, so hot trades cost no more than others.
 
 What a content repeats (its root) is the earliest root of all earlier contents that agree with it; it is settled when the content first arrives and holds for
@@ -220,8 +221,8 @@ def _bits(fp: np.ndarray, m: int) -> np.ndarray:
     return (((a[:, None] + i * (b >> np.uint64(18))[:, None]) & np.uint64(0xFFFFFFFFFFFF)) % np.uint64(m)).astype(np.int64)
 
 
-def _roll(m: int):  # noqa: ANN202
-    """One filter with a batch's fingerprints: which of them it may hold or two contents share; then it takes all in."""
+def _roll(m: int, whole: bool = False):  # noqa: ANN202
+    """One filter with a batch's fingerprints: which of them it may hold or two contents share (`hit`); then it takes all in. The others come out too if `whole`."""
 
     def run(key: tuple, known: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         filters = known["bits"]
@@ -233,15 +234,17 @@ def _roll(m: int):  # noqa: ANN202
             hit[i : i + (1 << 16)] |= bits[_bits(fps[i : i + (1 << 16)], m)].all(axis=1)
         for i in range(0, len(fps), 1 << 16):
             bits[_bits(fps[i : i + (1 << 16)], m).ravel()] = True
-        none = [None] * int(hit.sum())
-        longs = lambda x: pd.array([None, *x[hit].tolist()], dtype="Int64")  # noqa: E731 floats would lose digits
-        return pd.DataFrame({"part": np.int32(key[0]), "bits": [np.packbits(bits).tobytes(), *none], "fp": longs(fps), "content": longs(content)})
+        out = np.ones(len(fps), bool) if whole else hit
+        none = np.arange(1 + out.sum()) < 1
+        longs = lambda x: pd.arrays.IntegerArray(np.append(np.int64(0), x[out]), none)  # noqa: E731 floats would lose digits
+        packed = [np.packbits(bits).tobytes(), *[None] * int(out.sum())]
+        return pd.DataFrame({"part": np.int32(key[0]), "bits": packed, "fp": longs(fps), "content": longs(content), "hit": np.append(False, hit[out])})
 
     return run
 
 
 class HistoryStore:
-    """Contents with what they repeat, their fingerprints by part, and the Bloom filters over these, in a shared folder.
+    """Contents with what they repeat, and by part their fingerprints with the Bloom filters over these, in a shared folder.
 
     There are `parts` filters of `bits` bits; a fingerprint's part is its hash. That is a capacity, not a limit: beyond about bits / 10
     fingerprints a filter lets more through, which costs look-ups, never rows. A step counts once its line in the log stands; opening the folder again,
@@ -249,8 +252,7 @@ class HistoryStore:
     """
 
     DECIDED = "batch int, content long, text string, seq long, rows long, root struct<batch:int,seq:long,content:long>, fresh boolean"
-    PRINTS = "part int, fp long, content long"
-    ROLLED = "part int, bits binary, fp long, content long"
+    ROLLED = "part int, bits binary, fp long, content long, hit boolean"
 
     def __init__(self, spark: SparkSession, path: str | None = None, parts: int = 16, bits: int = 1 << 22) -> None:
         self.spark, self.path, self.parts, self.bits = spark, path or shared_dir(spark), parts, bits
@@ -274,34 +276,29 @@ class HistoryStore:
         """All batches' contents: batch, content, seq, rows and root, the (batch, seq, content) they repeat; their own if they are new."""
         return self.spark.read.schema(self.DECIDED).parquet(*[self._at("contents", s) for s in self.steps])
 
-    def _prints(self, parts: list[int]) -> DataFrame:
-        """Stored fingerprints of some parts. Files are sorted by part, so row groups of other parts are skipped."""
-        found = self.spark.read.schema(self.PRINTS).parquet(*[self._at("prints", s) for s in self.steps])
-        return found if len(parts) == self.parts else found.filter(F.col("part").isin(parts))
+    def _screens(self, steps: list[int]) -> DataFrame:
+        """For each part the filter, in a row without fingerprint, and the fingerprints of each step. Files hold part after part, so row groups of other parts are skipped."""
+        return self.spark.read.schema(self.ROLLED).parquet(*[self._at("screens", s) for s in steps])
 
     def _exploded(self, contents: DataFrame) -> DataFrame:
         return contents.select("content", F.explode("fps").alias("fp")).withColumn("part", F.pmod(F.xxhash64("fp"), F.lit(self.parts)).cast("int"))
 
     def _screen(self, contents: DataFrame, step: int) -> tuple[DataFrame, list[int], int]:
         """Positives (part, fp, content) of a batch, the parts that have some, and their number. The filters take the batch in on the way."""
-        known = self.spark.read.schema(self.ROLLED).parquet(self._at("filters", self.steps[-1])) if self.steps else self.spark.createDataFrame([], self.ROLLED)
+        known = self._screens(self.steps[-1:]) if self.steps else self.spark.createDataFrame([], self.ROLLED)
         known = known.filter("bits is not null").select("part", "bits")
         seen = Observation()
-        rolled = known.groupBy("part").cogroup(self._exploded(contents).groupBy("part")).applyInPandas(_roll(self.bits), self.ROLLED)
-        rolled.observe(seen, F.count("content").alias("n"), F.collect_set(F.when(F.col("fp").isNotNull(), F.col("part"))).alias("parts")).write.mode("overwrite").parquet(self._at("filters", step))
-        positives = self.spark.read.schema(self.ROLLED).parquet(self._at("filters", step)).filter("fp is not null").drop("bits")
-        return positives, list(seen.get["parts"] or []), int(seen.get["n"] or 0)
+        rolled = known.groupBy("part").cogroup(self._exploded(contents).groupBy("part")).applyInPandas(_roll(self.bits, whole=True), self.ROLLED)
+        counts = F.count_if("hit").alias("n"), F.collect_set(F.when(F.col("hit"), F.col("part"))).alias("parts")
+        rolled.observe(seen, *counts).write.mode("overwrite").parquet(self._at("screens", step))
+        return self._screens([step]).filter("hit").select("part", "fp", "content"), list(seen.get["parts"] or []), int(seen.get["n"] or 0)
 
-    def _append(self, contents: DataFrame, decided: DataFrame, step: int) -> DataFrame:
-        """Writes a batch's contents and the fingerprints of the new ones, sorted, by part."""
+    def _append(self, decided: DataFrame, step: int) -> DataFrame:
+        """Writes a batch's contents."""
         at = self._at("contents", step)
         decided.write.mode("overwrite").parquet(at)
-        decided = self.spark.read.schema(self.DECIDED).parquet(at)
-        fresh = contents.join(decided.filter("fresh").select("content"), "content", "left_semi")
-        prints = self._exploded(fresh).repartition("part").sortWithinPartitions("part", "fp")
-        prints.select("part", "fp", "content").write.mode("overwrite").parquet(self._at("prints", step))
         self._log(step)
-        return decided
+        return self.spark.read.schema(self.DECIDED).parquet(at)
 
     @staticmethod
     def _own_root() -> Column:
@@ -311,7 +308,7 @@ class HistoryStore:
         """Fill the empty store with contents that are accepted as they stand."""
         step = self._next()
         self._screen(contents, step)
-        self._append(contents, contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq", "rows", self._own_root(), F.lit(True).alias("fresh")), step)
+        self._append(contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq", "rows", self._own_root(), F.lit(True).alias("fresh")), step)
 
     def check(self, contents: DataFrame) -> DataFrame:
         """The batch's contents, decided."""
@@ -319,19 +316,21 @@ class HistoryStore:
         positives, parts, n = self._screen(contents, step)
         base = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq", "rows", self._own_root())
         if not n:
-            return self._append(contents, base.withColumn("fresh", F.lit(True)), step)
+            return self._append(base.withColumn("fresh", F.lit(True)), step)
         hits = F.broadcast(positives) if n <= BROADCAST_ROWS else positives
-        mine = contents.select(F.col("batch").cast("int").alias("batch"), "content", "text", "seq")
-        others = mine.select(F.col("content").alias("other"), F.col("text").alias("other_text"), F.col("seq").alias("other_seq"))
-        before = (F.col("other_seq") < F.col("seq")) | (F.col("other_seq") == F.col("seq")) & (F.col("other") < F.col("content"))
-        sides = ("batch", "content", "seq", "text", "other", "other_text", "root", "inside")
-        here = positives.select("part", "fp", F.col("content").alias("other")).join(hits, ["part", "fp"]).filter("content != other").select("content", "other").distinct()
-        tried = here.join(mine, "content").join(others, "other").filter(before).withColumns({"root": F.struct("batch", F.col("other_seq").alias("seq"), F.col("other").alias("content")), "inside": F.lit(True)}).select(*sides)
+        mine = base.select("batch", "content", "text", "seq")
+        # what a positive may meet: positives of the batch itself, and the store
+        stored = positives.withColumn("inside", F.lit(True))
+        others = base.select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root", F.lit(True).alias("inside"))
         if self.steps:
-            # candidates of the store, with what they repeat themselves
-            there = self._prints(parts).select("part", "fp", F.col("content").alias("other")).join(hits, ["part", "fp"]).select("content", "other").distinct()
-            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root")
-            tried = tried.unionByName(there.join(then, "other").join(mine, "content").withColumn("inside", F.lit(False)).select(*sides))
+            prints = self._screens(self.steps).filter("fp is not null")
+            prints = prints if len(parts) == self.parts else prints.filter(F.col("part").isin(parts))
+            stored = stored.unionByName(prints.select("part", "fp", "content", F.lit(False).alias("inside")))
+            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root", F.lit(False).alias("inside"))
+            others = others.unionByName(then)
+        met = stored.withColumnRenamed("content", "other").join(hits, ["part", "fp"]).filter("not inside or content != other").select("content", "other", "inside").distinct()
+        earlier = (F.col("root.seq") < F.col("seq")) | (F.col("root.seq") == F.col("seq")) & (F.col("other") < F.col("content"))
+        tried = met.join(others, ["other", "inside"]).join(mine, "content").filter(~F.col("inside") | earlier)
         found = Observation()
         alike = tried.filter((F.col("content") == F.col("other")) | agree("text", "other_text")).select("batch", "content", "seq", "other", "root", "inside")
         alike = materialize(alike.observe(found, F.count(F.lit(1)).alias("n")))
@@ -340,7 +339,7 @@ class HistoryStore:
         settled = base.join(F.broadcast(roots) if few else roots, "content", "left").select(
             "batch", "content", "text", "seq", "rows", F.coalesce("r", "root").alias("root"), F.coalesce("is_new", F.lit(True)).alias("fresh")
         )
-        return self._append(contents, settled, step)
+        return self._append(settled, step)
 
 
 def _carry(alike: pd.DataFrame) -> pd.DataFrame:

@@ -149,3 +149,24 @@ def test_filters_hold_what_was_added(spark):
     assert set(out["content"].dropna()) == set(range(500))
     twice = roll((0,), none, pd.DataFrame({"fp": [5, 6, 5], "content": [1, 2, 3]}))
     assert set(zip(twice["fp"].dropna(), twice["content"].dropna(), strict=True)) >= {(5, 1), (5, 3)}
+
+
+def test_a_batch_takes_few_plans_and_exchanges(spark):
+    """Each exchange takes a thread of the driver for a minute, and the driver keeps every plan: fingerprints are dealt out once, and one search meets batch and store."""
+    rows, texts = contents(make(spark, 200, 3))
+    made = H.prepare(rows, texts.withColumn("grams", H.winnowed("text")))
+    store = H.HistoryStore(spark, parts=3, bits=1 << 12)
+    for no in (1, 2):
+        store.check(made.filter(F.col("batch") == no))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    status = spark._jsparkSession.sharedState().statusStore()
+    before = status.executionsCount()
+    assert store.check(made.filter(F.col("batch") == 3)).filter("root.batch < 3").count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = status.executionsList(before, 100)
+    names = []
+    for i in range(runs.size() - 1):  # the last one is the count above
+        nodes = status.planGraph(runs.apply(i).executionId()).allNodes()
+        names += [nodes.apply(k).name() for k in range(nodes.size())]
+    assert sum(n.startswith("Execute InsertIntoHadoop") for n in names) == 3
+    assert sum(n in ("Exchange", "BroadcastExchange") for n in names) <= 12
