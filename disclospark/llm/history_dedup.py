@@ -7,9 +7,10 @@ spellings chose, so the prescreen loses nothing the verification would take.
 
 A batch goes through three steps, its own rows and history alike: (1) partitioned Bloom filters, one part of the fingerprints each, prescreen the batch's
 fingerprints and take them in, which are stored by part on the way; a fingerprint that two contents of the batch share is a positive too; (2) positives are looked up
-among themselves and in the persistent store, of which only the parts with positives are read, and candidates are verified: an equal content at once, others if they share
-all grams that two typos can spare and agree word by word; (3) the decided contents are added to the store. A step is one plan with few exchanges: the driver
-keeps a thread for each for a while. History is never fingerprinted again. Asset names are normalised
+among themselves and in the persistent store, of which only the parts with positives are read; (3) the pairs that met are verified, an equal content at once, others if they share
+all grams that two typos can spare and agree word by word, and the decided contents are added to the store. Pairs never leave a salt, and a content ends in bits of its salt: up to
+`BROADCAST_ROWS` pairs find the stored texts by a broadcast, so the store is not shuffled, and are verified and settled beside the batch's contents, bucket by bucket. A step is one plan with
+few exchanges: the driver keeps a thread for each for a while. History is never fingerprinted again. Asset names are normalised
 and winnowed once for each distinct text, and equal contents of a batch are one row before any fingerprint is made, so hot trades cost no more than others.
 
 What a content repeats (its root) is the earliest root of all earlier contents that agree with it; it is settled when the content first arrives and holds for
@@ -28,6 +29,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -41,6 +43,8 @@ BLOOM_HASHES = 6
 ROOT = "struct<batch:int,seq:long,content:long>"
 #: Tables of distinct texts and the positives of a batch are broadcast up to this many rows (each under 300 bytes); more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
+#: The last bits of a content are those of its salt.
+SALT_BITS = 12
 
 # Spellings of legal forms and of contract words that mean the same.
 SAME_WORDS = {
@@ -187,12 +191,16 @@ def if_small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def _salt_bits(column: str) -> Column:
+    return F.col(column).bitwiseAND((1 << SALT_BITS) - 1)
+
+
 def with_content(df: DataFrame, texts: DataFrame, person: str, day: str, low: str, high: str) -> DataFrame:
-    """Joins `texts` by asset_name and adds salt, text_id and content (long)."""
+    """Joins `texts` by asset_name and adds salt, text_id and content (long), the last bits of which tell the salt's bucket."""
     named = df.join(if_small(texts.select("asset_name", "exact", "text_id")), "asset_name")
     return (
         named.withColumn("salt", F.xxhash64(F.col(person), F.col(day), F.col(low), F.coalesce(F.col(high), F.lit(-1)), "exact"))
-        .withColumn("content", F.xxhash64("salt", "text_id"))
+        .withColumn("content", F.shiftleft(F.xxhash64("salt", "text_id"), SALT_BITS).bitwiseOR(_salt_bits("salt")))
         .drop("exact")
     )
 
@@ -200,7 +208,7 @@ def with_content(df: DataFrame, texts: DataFrame, person: str, day: str, low: st
 def prepare(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """Contents of all batches with their texts and fingerprints, written by batch: batch, content, text, seq, rows, fps.
 
-    `rows`: batch, salt, text_id, content, seq (long, order in the batch). Equal contents of a batch are aggregated on numbers alone, map-side
+    `rows`: batch, salt, text_id, content (of with_content()), seq (long, order in the batch). Equal contents of a batch are aggregated on numbers alone, map-side
     first, before anything is fingerprinted. `rows` counts them.
     """
     contents = rows.groupBy("batch", "salt", "text_id", "content").agg(F.min("seq").alias("seq"), F.count(F.lit(1)).alias("rows"))
@@ -243,6 +251,17 @@ def _roll(m: int, whole: bool = False):  # noqa: ANN202
     return run
 
 
+def _rolled(m: int):  # noqa: ANN202
+    """The same for filter and fingerprints in one frame, the row with bits being the filter: one exchange deals out both."""
+    roll = _roll(m, whole=True)
+
+    def run(key: tuple, dealt: pd.DataFrame) -> pd.DataFrame:
+        is_filter = dealt["bits"].notna().to_numpy()
+        return roll(key, dealt[is_filter], dealt[~is_filter])
+
+    return run
+
+
 class HistoryStore:
     """Contents with what they repeat, and by part their fingerprints with the Bloom filters over these, in a shared folder.
 
@@ -285,10 +304,12 @@ class HistoryStore:
 
     def _screen(self, contents: DataFrame, step: int) -> tuple[DataFrame, list[int], int]:
         """Positives (part, fp, content) of a batch, the parts that have some, and their number. The filters take the batch in on the way."""
-        known = self._screens(self.steps[-1:]) if self.steps else self.spark.createDataFrame([], self.ROLLED)
-        known = known.filter("bits is not null").select("part", "bits")
+        dealt = self._exploded(contents).select("part", F.lit(None).cast("binary").alias("bits"), "fp", "content")
+        if self.steps:  # a filter's numbers are zeros: with a null among them pandas would make floats of all
+            none = F.lit(0).cast("long")
+            dealt = dealt.unionByName(self._screens(self.steps[-1:]).filter("bits is not null").select("part", "bits", none.alias("fp"), none.alias("content")))
         seen = Observation()
-        rolled = known.groupBy("part").cogroup(self._exploded(contents).groupBy("part")).applyInPandas(_roll(self.bits, whole=True), self.ROLLED)
+        rolled = dealt.groupBy("part").applyInPandas(_rolled(self.bits), self.ROLLED)
         counts = F.count_if("hit").alias("n"), F.collect_set(F.when(F.col("hit"), F.col("part"))).alias("parts")
         rolled.observe(seen, *counts).write.mode("overwrite").parquet(self._at("screens", step))
         return self._screens([step]).filter("hit").select("part", "fp", "content"), list(seen.get["parts"] or []), int(seen.get["n"] or 0)
@@ -318,28 +339,48 @@ class HistoryStore:
         if not n:
             return self._append(base.withColumn("fresh", F.lit(True)), step)
         hits = F.broadcast(positives) if n <= BROADCAST_ROWS else positives
-        mine = base.select("batch", "content", "text", "seq")
         # what a positive may meet: positives of the batch itself, and the store
         stored = positives.withColumn("inside", F.lit(True))
-        others = base.select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root", F.lit(True).alias("inside"))
         if self.steps:
             prints = self._screens(self.steps).filter("fp is not null")
             prints = prints if len(parts) == self.parts else prints.filter(F.col("part").isin(parts))
             stored = stored.unionByName(prints.select("part", "fp", "content", F.lit(False).alias("inside")))
-            then = self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root", F.lit(False).alias("inside"))
-            others = others.unionByName(then)
-        met = stored.withColumnRenamed("content", "other").join(hits, ["part", "fp"]).filter("not inside or content != other").select("content", "other", "inside").distinct()
+        met = stored.withColumnRenamed("content", "other").join(hits, ["part", "fp"]).select("content", "other", "inside").distinct()
+        met = met.filter(~F.col("inside") | (F.col("content") != F.col("other")) & (_salt_bits("content") == _salt_bits("other")))
+        pairs = Observation()
+        met = materialize(met.observe(pairs, F.count(F.lit(1)).alias("n")))
+        few = int(pairs.get["n"] or 0) <= BROADCAST_ROWS
+        return self._append((self._decide_few if few else self._decide_many)(base, met), step)
+
+    def _then(self) -> DataFrame:
+        """Contents a batch may repeat: other, other_text, root."""
+        return self.decided().filter("fresh").select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root")
+
+    def _decide_few(self, base: DataFrame, met: DataFrame) -> DataFrame:
+        """The batch's contents, decided in one plan: pairs meet the batch's contents by bucket of their salt."""
+        links = met.filter("inside").select("content", "other", "inside", F.lit(None).cast("string").alias("other_text"), F.lit(None).cast(ROOT).alias("root"))
+        if self.steps:
+            links = links.unionByName(self._then().join(F.broadcast(met.filter("not inside")), "other"))
+        links = links.select("content", "other", "inside", "other_text", *[F.col(f"root.{c}").alias(f"root_{c}") for c in ("batch", "seq", "content")])
+        bucket = F.pmod(_salt_bits("content"), F.lit(self.parts))
+        groups = [df.withColumn("bucket", bucket).groupBy("bucket") for df in (links, base.select("batch", "content", "text", "seq", "rows"))]
+        return groups[0].cogroup(groups[1]).applyInArrow(_decide, self.DECIDED)
+
+    def _decide_many(self, base: DataFrame, met: DataFrame) -> DataFrame:
+        """The same by joins."""
+        others = base.select(F.col("content").alias("other"), F.col("text").alias("other_text"), "root", F.lit(True).alias("inside"))
+        if self.steps:
+            others = others.unionByName(self._then().withColumn("inside", F.lit(False)))
         earlier = (F.col("root.seq") < F.col("seq")) | (F.col("root.seq") == F.col("seq")) & (F.col("other") < F.col("content"))
-        tried = met.join(others, ["other", "inside"]).join(mine, "content").filter(~F.col("inside") | earlier)
+        tried = met.join(others, ["other", "inside"]).join(base.select("batch", "content", "text", "seq"), "content").filter(~F.col("inside") | earlier)
         found = Observation()
         alike = tried.filter((F.col("content") == F.col("other")) | agree("text", "other_text")).select("batch", "content", "seq", "other", "root", "inside")
         alike = materialize(alike.observe(found, F.count(F.lit(1)).alias("n")))
         few = int(found.get["n"] or 0) <= BROADCAST_ROWS
         roots = (_settle_few if few else _settle_many)(alike)
-        settled = base.join(F.broadcast(roots) if few else roots, "content", "left").select(
+        return base.join(F.broadcast(roots) if few else roots, "content", "left").select(
             "batch", "content", "text", "seq", "rows", F.coalesce("r", "root").alias("root"), F.coalesce("is_new", F.lit(True)).alias("fresh")
         )
-        return self._append(settled, step)
 
 
 def _carry(alike: pd.DataFrame) -> pd.DataFrame:
@@ -366,6 +407,36 @@ def _carry(alike: pd.DataFrame) -> pd.DataFrame:
     return frame.astype({"content": "int64", "b": "int32", "s": "int64", "c": "int64", "is_new": "bool"})
 
 
+def _decide(links: pa.Table, own: pa.Table) -> pa.Table:
+    """Contents of a bucket with root and whether they are new; `links` are the pairs that met, those of the store with text and root."""
+    batch, content, seq = (own[c].to_numpy() for c in ("batch", "content", "seq"))
+    root, fresh = [batch.copy(), seq.copy(), content.copy()], np.ones(len(own), bool)
+    order = np.argsort(content)
+    at = lambda x: order[np.searchsorted(content, x, sorter=order)]
+    inside = links["inside"].to_numpy()
+    mine, theirs = links["content"].to_numpy(), links["other"].to_numpy()
+    i, j = at(mine), np.zeros(len(mine), np.int64)
+    j[inside] = at(theirs[inside])
+    # a pair inside the batch goes from the later to the earlier
+    earlier = (seq[j] < seq[i]) | (seq[j] == seq[i]) & (theirs < mine)
+    tried = np.flatnonzero(~inside | earlier)
+    texts = [own["text"].take(pa.array(x[tried])).to_pylist() for x in (i, j)]
+    stored = links.select(["other_text", "root_batch", "root_seq", "root_content"]).take(pa.array(tried)).to_pylist()
+    alike = []
+    for k, text, near, far in zip(tried, *texts, stored, strict=True):
+        if mine[k] == theirs[k] or same_text(text, near if inside[k] else far["other_text"]):
+            place = (batch[j[k]], seq[j[k]], theirs[k]) if inside[k] else (far["root_batch"], far["root_seq"], far["root_content"])
+            alike.append((batch[i[k]], mine[k], seq[i[k]], theirs[k], dict(zip(("batch", "seq", "content"), place, strict=True)), inside[k]))
+    if alike:
+        carried = _carry(pd.DataFrame(alike, columns=["batch", "content", "seq", "other", "root", "inside"]))
+        where = at(carried["content"].to_numpy())
+        for column, name in zip(root, ("b", "s", "c"), strict=True):
+            column[where] = carried[name].to_numpy()
+        fresh[where] = carried["is_new"].to_numpy()
+    roots = pa.StructArray.from_arrays([pa.array(x) for x in root], ["batch", "seq", "content"])
+    return own.select(["batch", "content", "text", "seq", "rows"]).append_column("root", roots).append_column("fresh", pa.array(fresh))
+
+
 def _settle_few(alike: DataFrame) -> DataFrame:
     """(content, r, is_new) of linked contents, in one task: for as many links as may be broadcast."""
     carried = alike.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(_carry, "content long, b int, s long, c long, is_new boolean")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import calendar_date
 from ..functions.text import is_blank
 from ..operators.timestamps import local_day, normalize_times
-from ..session import materialize, read_table, short_plans
+from ..session import drop_finished, materialize, read_table, short_plans
 from .canonical import map_fields
 from .history_dedup import HistoryStore, amount_ends, asset_texts, if_small, prepare, repeated_rows, with_content
 from .lookalikes import canonical_texts, form_classes, same_looking
@@ -72,6 +72,7 @@ def _repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     for no in sorted(sizes):
         batch = contents.filter(F.col("batch") == no)
         store.seed(batch) if no == ACCEPTED else store.check(batch)
+        drop_finished(spark)
     if not sizes:
         return spark.createDataFrame([], "row_id long, original string")
     return repeated_rows(rows, store.decided().filter(F.col("batch") != ACCEPTED))

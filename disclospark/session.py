@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -54,6 +55,12 @@ def short_plans(spark: SparkSession, length: int = 20_000) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
+def drop_finished(spark: SparkSession) -> None:
+    """For loops of many steps: shuffle files and broadcasts of finished plans stay until the driver collects its garbage, which small plans seldom bring about."""
+    gc.collect()  # frames hold their plans in the driver's JVM
+    spark.sparkContext._jvm.System.gc()
+
+
 def clear_intermediates(spark: SparkSession) -> None:
     """Delete every table this application wrote to cut lineage. To be called once no frame built before is needed any more."""
     fs, p = _hadoop_path(spark, shared_dir(spark).rpartition("/")[0])

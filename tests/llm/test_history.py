@@ -170,3 +170,29 @@ def test_a_batch_takes_few_plans_and_exchanges(spark):
         names += [nodes.apply(k).name() for k in range(nodes.size())]
     assert sum(n.startswith("Execute InsertIntoHadoop") for n in names) == 3
     assert sum(n in ("Exchange", "BroadcastExchange") for n in names) <= 12
+
+
+def test_a_batch_leaves_the_contents_of_the_store_where_they_are(spark):
+    """Few pairs: one exchange deals fingerprints and filters, one broadcast looks them up and one finds the stored texts, and only pairs and the batch are dealt out."""
+    rows, texts = contents(make(spark, 200, 3))
+    made = H.prepare(rows, texts.withColumn("grams", H.winnowed("text")))
+    store = H.HistoryStore(spark, parts=3, bits=1 << 12)
+    for no in (1, 2):
+        store.check(made.filter(F.col("batch") == no))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    status = spark._jsparkSession.sharedState().statusStore()
+    before = status.executionsCount()
+    store.check(made.filter(F.col("batch") == 3))
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    runs = status.executionsList(before, 100)
+    names = Counter()
+    for i in range(runs.size()):
+        nodes = status.planGraph(runs.apply(i).executionId()).allNodes()
+        names.update(nodes.apply(k).name() for k in range(nodes.size()))
+    assert (names["Exchange"], names["BroadcastExchange"]) == (4, 2)
+
+
+def test_a_content_ends_in_bits_of_its_salt(spark):
+    rows, _ = contents(make(spark, 60, 4))
+    assert rows.select("content").distinct().count() == rows.select("salt", "text_id").distinct().count()
+    assert rows.filter((F.col("content").bitwiseAND(4095)) != F.col("salt").bitwiseAND(4095)).isEmpty()
